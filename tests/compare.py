@@ -71,7 +71,7 @@ def main() -> int:
 
     sf_dir = f"/root/testdata/sf{sys.argv[1]}"
     wanted = sys.argv[2:]
-    spark = build_session("compare", "local[8]", 8, {"spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+    spark = build_session("compare", "local[8]", 8, {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = oracle_connection(sf_dir)
     oracles = entry.oracle_sql()
