@@ -9,44 +9,62 @@ stray blanks.  Everything after that point is computed independently by each sid
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from lakemart.checks.registry import table
 from lakemart.plans import schemas
-from lakemart.plans.staging import staging_table
+from lakemart.plans.staging import select_latest, stage
 
 _TABLES = ("lineitem", "orders", "events", "customer", "supplier", "nation")
 
 
-def _grouped(source: str, k: str, d: str, amount: str, n: str, k2: str = "0") -> str:
-    grain = ", ".join([k, d] + ([k2] if k2 != "0" else []))
-    return (
-        f"select {k} as k, {k2} as k2, {d} as d, max({n}) as n, cast(sum(cast({amount} as decimal(18,2))) as decimal(18,2)) as amt "
-        f"from {{{source}}} group by {grain}"
-    )
+@dataclass(frozen=True)
+class Base:
+    """A driver table grouped to (k, k2, d), or taken row by row when ``figure`` is not summed."""
+
+    source: str
+    k: str
+    d: str
+    n: str
+    figure: str
+    k2: str = "0"
+    grouped: bool = True
 
+    @property
+    def rows(self) -> str:
+        amount = f"cast({self.figure} as decimal(18,2))"
+        head = f"select {self.k} as k, {self.k2} as k2, {self.d} as d"
+        if not self.grouped:
+            return f"{head}, {self.n} as n, {amount} as amt from {{{self.source}}}"
+        keys = [self.k, self.d] + ([self.k2] if self.k2 != "0" else [])
+        if self.d.startswith("cast(min("):
+            keys.remove(self.d)
+        total = f"cast(sum({amount}) as decimal(18,2))"
+        return f"{head}, max({self.n}) as n, {total} as amt from {{{self.source}}} group by {', '.join(keys)}"
 
-def _lines(k: str, d: str = "cast(l_shipdate as date)", k2: str = "0") -> str:
-    return _grouped("lineitem", k, d, "l_extendedprice", "l_orderkey * 10 + l_linenumber", k2)
+    def days(self, with_key: bool) -> str:
+        """Distinct landing days, per key if asked, straight from the driver table."""
+        if self.d.startswith("cast(min("):
+            return f"select distinct k, d from ({self.rows}) b"
+        return f"select distinct {self.k if with_key else '0'} as k, {self.d} as d from {{{self.source}}}"
 
 
-def _orders(k: str, d: str = "cast(o_orderdate as date)", k2: str = "0") -> str:
-    return _grouped("orders", k, d, "o_totalprice", "o_orderkey", k2)
+def _lines(k: str, d: str = "cast(l_shipdate as date)", k2: str = "0") -> Base:
+    return Base("lineitem", k, d, "l_orderkey * 10 + l_linenumber", "l_extendedprice", k2)
 
 
-def _events(k2: str = "0") -> str:
-    return _grouped("events", "user_id", "cast(ts as date)", "value", "event_id", k2)
+def _orders(k: str, d: str = "cast(o_orderdate as date)", k2: str = "0") -> Base:
+    return Base("orders", k, d, "o_orderkey", "o_totalprice", k2)
 
 
-def _dimension(source: str, k: str, amount: str = "0") -> str:
-    return f"select {k} as k, 0 as k2, date '2024-01-15' as d, {k} as n, cast({amount} as decimal(18,2)) as amt from {{{source}}}"
+def _events(k2: str = "0") -> Base:
+    return Base("events", "user_id", "cast(ts as date)", "event_id", "value", k2)
 
 
-_SHIP_MONTH = "last_day(cast(l_shipdate as date))"
-_ORDER_MONTH = "last_day(cast(o_orderdate as date))"
-_SHIP_QUARTER = "last_day(make_date(year(l_shipdate), quarter(l_shipdate) * 3, 1))"
+def _dimension(source: str, k: str, amount: str = "0") -> Base:
+    return Base(source, k, "date '2024-01-15'", k, amount, grouped=False)
+
 
 BASES = {
     "part_days": _lines("l_partkey"),
@@ -56,13 +74,10 @@ BASES = {
     "user_type_days": _events("event_type"),
     "market_days": _orders("o_custkey % 4"),
     "weights": _lines("l_suppkey", k2="l_partkey"),
-    "members": (
-        "select l_suppkey as k, l_partkey as k2, cast(min(l_shipdate) as date) as d, max(l_orderkey * 10 + l_linenumber) as n, "
-        "cast(sum(cast(l_extendedprice as decimal(18,2))) as decimal(18,2)) as amt from {lineitem} group by l_suppkey, l_partkey"
-    ),
-    "holders": _lines("l_partkey % 50", _SHIP_MONTH, "l_suppkey"),
-    "float_holders": _orders("o_custkey % 50", _ORDER_MONTH, "o_custkey"),
-    "funds": _lines("l_suppkey", _SHIP_QUARTER, "l_partkey % 40"),
+    "members": _lines("l_suppkey", "cast(min(l_shipdate) as date)", "l_partkey"),
+    "holders": _lines("l_partkey % 50", "last_day(cast(l_shipdate as date))", "l_suppkey"),
+    "float_holders": _orders("o_custkey % 50", "last_day(cast(o_orderdate as date))", "o_custkey"),
+    "funds": _lines("l_suppkey", "last_day(make_date(year(l_shipdate), quarter(l_shipdate) * 3, 1))", "l_partkey % 40"),
     "customers": _dimension("customer", "c_custkey", "c_acctbal"),
     "suppliers": _dimension("supplier", "s_suppkey", "s_acctbal"),
     "nations": _dimension("nation", "n_nationkey"),
@@ -157,38 +172,66 @@ def _value(dataset: str, column: str, position: int) -> str:
     return f"case when (n + {position}) % 11 = 0 then '  ' else {text} end"
 
 
-def raw_sql(dataset: str) -> str:
-    """SELECT of a dataset's raw rows with dt, run_id, partition_date, request hash and load time."""
-    partitioned, scoped = schemas.selection_mode(dataset)
-    base = BASES[_BASE.get(dataset, "supplier_days")]
-    run = "concat('run-', cast(ver as {text}), '-', cast(k as {text}))" if scoped else "concat('run-', cast(ver as {text}))"
-    scope = "concat('req-', cast(k as {text}))" if scoped else "''"
-    columns = ",\n       ".join(
-        f'{_value(dataset, c, i)} as {{q}}{c}{{q}}' for i, c in enumerate(schemas.RAW_COLUMNS[dataset])
-    )
+def _values(dataset: str) -> list[str]:
+    return [f"{_value(dataset, c, i)} as {{q}}{c}{{q}}" for i, c in enumerate(schemas.RAW_COLUMNS[dataset])]
+
+
+def _base(dataset: str) -> Base:
+    return BASES[_BASE.get(dataset, "supplier_days")]
+
+
+def _landing(dataset: str) -> dict[str, str]:
+    """Day, run and request scope a row lands under, and when."""
+    _, scoped = schemas.selection_mode(dataset)
+    run = "concat('run-', cast(ver as {text}))"
     hour = "concat(cast(d as {text}), ' 0', cast((day(d) + ver) % 2 + 1 as {text}), ':00:00')"
-    return (
-        f"select {columns},\n       {_digits('d')} as dt, {run} as run_id, d as partition_date, {scope} as request_params_hash, "
-        f"cast({hour} as {{timestamp}}) as written_at\n"
-        f"from (select *, 0 as ver from ({base}) b0 union all select k, k2, d, n, amt + 1, 1 from ({base}) b1) v"
-    )
+    return {
+        "dt": _digits("d"),
+        "run_id": f"concat({run}, '-', cast(k as {{text}}))" if scoped else run,
+        "partition_date": "d",
+        "request_params_hash": "concat('req-', cast(k as {text}))" if scoped else "''",
+        "written_at": f"cast({hour} as {{timestamp}})",
+    }
 
 
-def _dialect(sql: str, text: str, timestamp: str, quote: str, tables: Mapping[str, object]) -> str:
-    return sql.format(text=text, timestamp=timestamp, q=quote, **tables)
+def _named(landing: dict[str, str], *names: str) -> list[str]:
+    return [f"{landing[n]} as {n}" for n in names or landing]
 
 
-def raw_feed(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
-    template = raw_sql(dataset)
+def _rows_sql(dataset: str) -> str:
+    """Driver rows of a dataset in both landings."""
+    return f"select k, k2, d, n, amt + ver as amt, ver from (select *, {{versions}} as ver from ({_base(dataset).rows}) b) v"
+
+
+def _artifacts_sql(dataset: str) -> str:
+    """One row per landed artifact; request-scoped datasets land one per day and code."""
+    days = _base(dataset).days(schemas.selection_mode(dataset)[1])
+    columns = _named(_landing(dataset), "run_id", "partition_date", "request_params_hash", "written_at")
+    return f"select distinct {', '.join(columns)} from (select *, {{versions}} as ver from ({days}) g) a"
+
+
+def _dialect(sql: str, text: str, timestamp: str, quote: str, versions: str, tables: Mapping[str, object]) -> str:
+    return sql.format(text=text, timestamp=timestamp, q=quote, versions=versions, **tables)
+
+
+def _spark_text(sql: str) -> str:
+    return _dialect(sql, "string", "timestamp_ntz", "`", "explode(array(0, 1))", {t: "{" + t + "}" for t in _TABLES})
+
+
+def _run(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
     used = {t: table(spark, sf_dir, t) for t in _TABLES if "{" + t + "}" in template}
-    sql = _dialect(template, "string", "timestamp_ntz", "`", {t: "{" + t + "}" for t in _TABLES})
-    return spark.sql(sql, **used)
+    return spark.sql(_spark_text(template), **used)
 
 
 def staged_feed(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
-    raw = raw_feed(spark, sf_dir, dataset)
-    artifacts = raw.groupBy("partition_date", "run_id", "request_params_hash").agg(F.max("written_at").alias("written_at"))
-    return staging_table(dataset, raw.drop("partition_date", "request_params_hash", "written_at"), artifacts)
+    """Staging table of a derived feed; losing landings are dropped before they are spelled out."""
+    partitioned, scoped = schemas.selection_mode(dataset)
+    artifacts = _run(spark, sf_dir, _artifacts_sql(dataset))
+    landing = [_spark_text(c) for c in _named(_landing(dataset), "dt", "run_id")]
+    rows = _run(spark, sf_dir, _rows_sql(dataset)).selectExpr("*", *landing)
+    chosen = select_latest(rows, artifacts, partitioned, scoped)
+    spelled = chosen.selectExpr(*[_spark_text(v) for v in _values(dataset)], "source_run_id", "raw_loaded_at")
+    return stage(dataset, spelled)
 
 
 class StagedFeeds(Mapping):
@@ -209,11 +252,15 @@ class StagedFeeds(Mapping):
         return len(schemas.RAW_COLUMNS)
 
 
+def _duck(sql: str) -> str:
+    return _dialect(sql, "varchar", "timestamp", '"', "unnest([0, 1])", {t: t for t in _TABLES})
+
+
 def staging_ctes(*datasets: str) -> str:
     """``raw_x`` and ``stg_x`` common table expressions for the checking engine."""
     parts = []
     for name in datasets:
-        raw = _dialect(raw_sql(name), "varchar", "timestamp", '"', {t: t for t in _TABLES})
+        raw = _duck(f"select {', '.join(_values(name) + _named(_landing(name)))} from ({_rows_sql(name)}) r")
         partitioned, scoped = schemas.selection_mode(name)
         keys = ", ".join((["partition_date"] if partitioned else []) + (["request_params_hash"] if scoped else []))
         window = f"partition by {keys} " if keys else ""

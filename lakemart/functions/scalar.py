@@ -26,7 +26,8 @@ def _column(value: Column | str) -> Column:
 
 def clean_text(value: Column | str) -> Column:
     """Trimmed text; blank becomes NULL."""
-    return F.nullif(F.trim(_column(value).cast("string")), F.lit(""))
+    text = F.trim(_column(value).cast("string"))
+    return F.when(text != "", text)
 
 
 def strict_date(value: Column | str) -> Column:
@@ -50,7 +51,8 @@ def lenient_date(value: Column | str) -> Column:
 
 def strict_measure(value: Column | str) -> Column:
     """Text to decimal(38,18); unparsable text raises."""
-    return clean_text(value).cast(MEASURE)
+    text = _column(value).cast("string")
+    return F.when(F.trim(text) != "", text).cast(MEASURE)
 
 
 def lenient_measure(value: Column | str) -> Column:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Wall-clock columns are compared as written, text casts must fail loudly, and the
 # physical strategy (broadcast, skew splits, partition counts) is left to AQE.
@@ -15,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The JVM does not compile generated methods over this size; marts are wide enough
+    # to exceed it, and split projections are compiled where one huge method is not.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -50,3 +54,15 @@ def shared_folder(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="lakemart-")
     spark.conf.set("spark.checkpoint.dir", local)
     return os.path.abspath(local)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Writes a DataFrame once as a table in the shared folder and reads it from there.
+
+    For results that are read several times by one plan and are far smaller than what
+    they come from.  The files outlive executors, so losing one repeats nothing, and
+    the next plan sees their real size.
+    """
+    path = f"{shared_folder(df.sparkSession)}/lakemart-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
