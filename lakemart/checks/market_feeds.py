@@ -83,7 +83,7 @@ BASES = {
     "nations": _dimension("nation", "n_nationkey"),
 }
 
-# What each dataset is derived from; datasets not listed come from supplier_days.
+# What each dataset is derived from; datasets not listed come from user_days.
 BASE_OF = {
     "part_days": "daily adj_factor daily_basic stk_limit fina_indicator",
     "supplier_days": "index_daily balancesheet moneyflow",
@@ -177,7 +177,7 @@ def _values(dataset: str) -> list[str]:
 
 
 def _base(dataset: str) -> Base:
-    return BASES[_BASE.get(dataset, "supplier_days")]
+    return BASES[_BASE.get(dataset, "user_days")]
 
 
 def _landing(dataset: str) -> dict[str, str]:
