@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.common import materialize
 
-GRAM = 5
+GRAM = 4
 WINDOW = 8
 #: Rows of a range when documents are put in order.
 RANGE_ROWS = 20_000
@@ -25,38 +25,49 @@ def bound(value: Column, use) -> Column:
 
 
 def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
-    """array<struct<place, hash>> of the chosen k-grams, in order of place; place counts words from 0."""
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    """array<long> of the chosen k-grams by place: the 31-bit hash above, 2^31 - 1 minus the place below.
 
-    def gram_hashes(values: Column) -> Column:
-        count = F.greatest(F.size(values) - gram + 1, F.lit(1))
+    Of such numbers the smallest is the smallest hash at its rightmost place, so a window's choice is one
+    minimum, and minima of windows twice as wide are minima of two.  Places count words from 0.
+    """
+    words = F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
+
+    def numbered(values: Column) -> Column:
         rolled = F.transform(
-            F.sequence(F.lit(0), count - 1),
-            lambda i: (F.xxhash64(*[F.get(values, i + j) for j in range(gram)]).bitwiseAND(0xFFFFFFFF) - 2**31).cast("int"),
+            values,
+            lambda h, i: F.shiftleft(F.xxhash64(h, *[F.get(values, i + j) for j in range(1, gram)]).bitwiseAND(2**31 - 1), 32)
+            + (F.lit(2**31 - 1).cast("long") - i),
         )
-        return F.when(F.size(values) > 0, rolled).otherwise(F.array().cast("array<int>"))
-
-    def chosen(hashes: Column) -> Column:
-        # At a window's start: its smallest hash and, of equal ones, the rightmost place.
-        def best(i: Column) -> Column:
-            inside = [F.get(hashes, i + j) for j in range(window)]
+        return F.slice(rolled, F.lit(1), F.greatest(F.size(values) - gram + 1, F.least(F.size(values), F.lit(1))))
+
+    def chosen(numbers: Column) -> Column:
+        def widened(lowest: Column, wide: int) -> Column:
+            if wide == window:
+                last = F.greatest(F.size(numbers) - window + 1, F.least(F.size(numbers), F.lit(1)))
+                return F.array_distinct(F.slice(lowest, F.lit(1), last))
+            step = min(wide, window - wide)
             return bound(
-                F.least(*inside) if window > 1 else inside[0],
-                lambda low: F.struct(
-                    (i + F.coalesce(*[F.when(inside[j] == low, F.lit(j)) for j in reversed(range(window))])).alias("place"),
-                    low.alias("hash"),
-                ),
+                lowest,
+                lambda low: widened(F.transform(low, lambda x, i: F.least(x, F.get(low, i + step))), wide + step),
             )
 
-        last = F.greatest(F.size(hashes) - window, F.lit(0))
-        picked = F.array_distinct(F.transform(F.sequence(F.lit(0), last), best))
-        return F.when(F.size(hashes) > 0, picked).otherwise(F.array().cast("array<struct<place:int,hash:int>>"))
+        return widened(numbers, 1)
 
-    return bound(bound(F.transform(words, lambda w: F.xxhash64(w)), gram_hashes), chosen)
+    return bound(bound(F.transform(words, lambda w: F.xxhash64(w)), numbered), chosen)
+
+
+def places_of(chosen: Column) -> Column:
+    """array<struct<place, hash>> of chosen k-grams, by place."""
+    return F.transform(
+        chosen,
+        lambda c: F.struct(
+            (F.lit(2**31 - 1) - c.bitwiseAND(2**31 - 1)).alias("place"), F.shiftright(c, 32).cast("int").alias("hash")
+        ),
+    )
 
 
 def hashes_of(chosen: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.transform(chosen, lambda c: c["hash"])))
+    return F.sort_array(F.array_distinct(F.transform(chosen, lambda c: F.shiftright(c, 32).cast("int"))))
 
 
 def likeness(left: Column, right: Column) -> Column:
@@ -68,7 +79,7 @@ def likeness(left: Column, right: Column) -> Column:
 
 def written(hashes: Column) -> Column:
     """The chosen hashes as text: eight hex digits each, in order."""
-    return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h.cast("long") + 2**31), 8, "0"))), "")
+    return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h), 8, "0"))), "")
 
 
 def following(keys: DataFrame) -> DataFrame:
@@ -102,8 +113,7 @@ def following(keys: DataFrame) -> DataFrame:
 def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """Every row's fingerprint, its edited text's, and their likeness, for ``docs`` (doc_id, text, ...).
 
-    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, chosen (place and
-    hash of the text's chosen k-grams).  The edited text has its last floor(n_chars / 3) code points
+    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.  The edited text has its last floor(n_chars / 3) code points
     replaced by the first as many (or all) of the next document by falling doc_id; the last is followed
     by the first.  NULL text is empty.  Rows that repeat a doc_id follow each other by a hash of the
     text; rows alike in both are one place in the order and get equal results.  A NULL doc_id comes last.
