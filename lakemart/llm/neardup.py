@@ -69,10 +69,11 @@ def multipliers(count: int) -> np.ndarray:
 
 def signature(shingles: np.ndarray, count: int) -> np.ndarray:
     """The smallest value of each of ``count`` hash functions over the set."""
-    found = np.empty(count, np.uint32)
-    for i, factor in enumerate(multipliers(count)):
-        found[i] = (shingles * factor).min() >> np.uint64(32)
-    return found
+    factors = multipliers(count)[:, None]
+    lowest = np.full(count, np.uint64(2**64 - 1))
+    for start in range(0, len(shingles), 1024):
+        np.minimum(lowest, (shingles[None, start : start + 1024] * factors).min(1), out=lowest)
+    return (lowest >> np.uint64(32)).astype(np.uint32)
 
 
 @lru_cache(maxsize=8)
