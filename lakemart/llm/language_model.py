@@ -8,7 +8,6 @@ Probabilities interpolate the pair's share with the word's smoothed share.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,7 +36,7 @@ class BloomSpec:
     bits: int = 10
     probes: int = 4
     most_bytes: int = 1 << 28
-    heavy: int = 20_000
+    heavy: int = 200_000
     mix: float = 0.6
     least_pair: int = 2
     segment: int = 1 << 16
@@ -173,14 +172,14 @@ def score(docs: DataFrame, spec: BloomSpec = BloomSpec()) -> DataFrame:
     base = float(np.log10(total + distinct + 1))
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """One row a text with its sums over frequent words, and one for each of its rarer words."""
+        """One row a text with its sums over frequent words, and one for each of its rarer tokens."""
         model, hashes = shared.value, WordHashes()
         probe = model["filter"]
         heavy, exact = model["heavy"], model["counts"]
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for start in range(0, len(batch), 64):
-                part = batch.iloc[start : start + 64]
+            for start in range(0, len(batch), 256):
+                part = batch.iloc[start : start + 256]
                 texts = [token_hashes(t, hashes) for t in part["text"]]
                 sizes = np.array([len(t) for t in texts])
                 tokens = np.concatenate(texts)
@@ -214,19 +213,21 @@ def score(docs: DataFrame, spec: BloomSpec = BloomSpec()) -> DataFrame:
                         "score": np.add.reduceat(chance, edges),
                     }
                 )
-                owner = np.repeat(np.arange(len(part)), sizes)[~common[back]]
-                rare = Counter(zip(owner.tolist(), tokens[~common[back]].astype(np.int64).tolist(), strict=True))
+                rarer = ~common[back]
+                many = int(rarer.sum())
+                none = np.zeros(many, np.int64)
+                blank = np.ones(many, bool)
                 yield pd.DataFrame(
                     {
-                        "row": ids[[o for o, _ in rare]] if rare else np.empty(0, np.int64),
-                        "gram": np.array([g for _, g in rare], np.int64),
-                        "many": np.array(list(rare.values()), np.int64),
-                        "doc_id": pd.array([None] * len(rare), "Int64"),
-                        "held_out": pd.array([None] * len(rare), "boolean"),
-                        "n_tokens": pd.array([None] * len(rare), "Int64"),
-                        "n_known": np.zeros(len(rare), np.int64),
-                        "part": np.zeros(len(rare)),
-                        "score": pd.array([None] * len(rare), "Float64"),
+                        "row": np.repeat(ids, sizes)[rarer],
+                        "gram": tokens[rarer].view(np.int64),
+                        "many": none + 1,
+                        "doc_id": pd.arrays.IntegerArray(none, blank),
+                        "held_out": pd.arrays.BooleanArray(none.astype(bool), blank),
+                        "n_tokens": pd.arrays.IntegerArray(none, blank),
+                        "n_known": none,
+                        "part": none.astype(np.float64),
+                        "score": pd.arrays.FloatingArray(none.astype(np.float64), blank),
                     }
                 )
                 row += len(part)
