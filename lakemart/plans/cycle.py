@@ -12,7 +12,6 @@ from lakemart.plans.queue import DELTA_TYPE, ENVELOPE_KEYS, PAYLOAD_TYPES
 # Cycle statuses in order; any status before the last may fail.
 STATUS_ORDER = ("pending", "phase0", "phase1", "phase2", "phase3", "published")
 FAILED = "failed"
-MAX_LISTED_CYCLES = 500
 
 
 class CycleAlreadyFrozen(RuntimeError):
@@ -40,8 +39,8 @@ def illegal_transitions(history: DataFrame, cycle: str, status: str, order: str)
 
 
 def recent_cycles(cycles: DataFrame, limit: int = 50, status: str | None = None) -> DataFrame:
-    if not 1 <= limit <= MAX_LISTED_CYCLES:
-        raise ValueError(f"limit must be between 1 and {MAX_LISTED_CYCLES}: {limit!r}")
+    if limit < 1:
+        raise ValueError(f"limit must be at least 1: {limit!r}")
     if status is not None:
         cycles = cycles.where(F.col("status") == status)
     return cycles.orderBy(*newest_first("cycle_date", "cycle_id")).limit(limit)

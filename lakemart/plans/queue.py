@@ -86,7 +86,8 @@ def validate(queue: DataFrame) -> DataFrame:
         F.when(F.col("_keys").isNull(), F.lit(NOT_AN_OBJECT))
         .when(has_forbidden, F.concat(F.lit(FORBIDDEN_PRESENT), listed))
         .when(~F.coalesce(F.col("_type").isin(*PAYLOAD_TYPES), F.lit(False)), F.lit(BAD_TYPE))
-        .when(F.coalesce(F.trim("_by"), F.lit("")) == "", F.lit(BAD_SUBMITTER))
+        # (?U): white space of any script, not spaces alone.
+        .when(~F.coalesce(F.col("_by").rlike(r"(?U)\S"), F.lit(False)), F.lit(BAD_SUBMITTER))
         .when(F.col("_type") != F.col("payload_type"), F.concat(F.lit(TYPE_DIFFERS), "_type", F.lit(" != "), "payload_type"))
         .when(F.col("_by") != F.col("submitted_by"), F.concat(F.lit(SUBMITTER_DIFFERS), "_by", F.lit(" != "), "submitted_by"))
     )

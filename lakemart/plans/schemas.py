@@ -149,6 +149,14 @@ REQUEST_SCOPED_DATASETS = ("top10_holders", "top10_floatholders")
 # ---------------------------------------------------------------------------
 
 
+# Columns of the order flow.
+MONEYFLOW_COLUMNS = (
+    "ts_code trade_date buy_sm_vol buy_sm_amount sell_sm_vol sell_sm_amount buy_md_vol buy_md_amount "
+    "sell_md_vol sell_md_amount buy_lg_vol buy_lg_amount sell_lg_vol sell_lg_amount buy_elg_vol "
+    "buy_elg_amount sell_elg_vol sell_elg_amount net_mf_vol net_mf_amount"
+)
+
+
 def _datasets() -> dict[str, list[str]]:
     found = {name: columns.split() for name, columns in OTHER_DATASETS.items()}
     for name, figures in STATEMENT_FIGURES.items():
@@ -157,11 +165,7 @@ def _datasets() -> dict[str, list[str]]:
         found[name] = ["ts_code", "trade_date", *BAR_FIGURES.split()]
     for name in REQUEST_SCOPED_DATASETS:
         found[name] = HOLDER_COLUMNS.split()
-    # Order flow: buy and sell, volume and amount, for four order sizes, then the net.
-    found["moneyflow"] = ["ts_code", "trade_date"]
-    for size in ("sm", "md", "lg", "elg", "net"):
-        sides = ("net_mf",) if size == "net" else (f"buy_{size}", f"sell_{size}")
-        found["moneyflow"] += [f"{side}_{unit}" for side in sides for unit in ("vol", "amount")]
+    found["moneyflow"] = MONEYFLOW_COLUMNS.split()
     return dict(sorted(found.items()))
 
 

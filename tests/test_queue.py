@@ -75,3 +75,10 @@ def test_validate_stream_writes_both_outputs_and_counts(spark, rows):
     assert rows(Q.read_part(spark, root, "accepted", schema), "id") == [(1,)]
     assert rows(Q.read_part(spark, root, "rejected", schema), "id") == [(2,)]
     assert spark.read.parquet(f"{root}/counts").agg(F.sum("row_count")).first()[0] == 2
+
+
+def test_submitter_of_white_space_alone_is_rejected(spark):
+    rows = [(i, "Ex-1", by, json.dumps({"payload_type": "Ex-1", "submitted_by": by})) for i, by in enumerate(["\t", " \n", " a "])]
+    queue = spark.createDataFrame(rows, "id long, payload_type string, submitted_by string, payload string")
+    out = K.validate(queue.selectExpr("*", "cast(null as string) validation_status", "cast(null as string) rejection_reason"))
+    assert [r["rejection_reason"] for r in out.orderBy("id").collect()] == [K.BAD_SUBMITTER, K.BAD_SUBMITTER, None]
