@@ -2,8 +2,8 @@
 
 Examples are TF-IDF vectors over the words that tell the two labels apart (chi-square at fit time).
 An inverted index over blocks of examples keeps, for each word and block, the largest weight.  A text
-visits blocks in falling order of the bound these maxima give and stops once no further block can
-hold a nearer example, so its neighbours are exact.  Their distance-weighted votes are calibrated
+visits blocks in falling order of the bound these maxima give, a wave at a time, and stops once no
+further block can hold a nearer example, so its neighbours are exact.  Their distance-weighted votes are calibrated
 against the examples themselves, each scored without itself.
 """
 
@@ -25,6 +25,8 @@ from lakemart.llm.quality import logistic, training_rows
 EDGES = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Documents' scores a worker remembers by their words; bounds memory, not the result.
 REMEMBERED = 50_000
+#: Blocks read before the nearest so far are compared with the bounds again; each wave is twice the one before.
+FIRST_WAVE = 8
 
 
 def terms_of(text: str | None) -> Counter:
@@ -40,18 +42,30 @@ def terms_of(text: str | None) -> Counter:
 
 @dataclass
 class ToxicityModel:
-    """``ids``, ``idf``: the vocabulary; ``postings[t]``: (examples, weights); ``maxima[t]``: (blocks, weights)."""
+    """``ids``, ``idf``: the vocabulary.
+
+    The postings of all words lie one after the other in ``examples`` and ``values``, examples ascending;
+    those of word t in block b are ``starts[t, b]`` to ``starts[t, b + 1]``, and ``maxima[t, b]`` is their
+    largest weight.
+    """
 
     ids: dict[bytes, int]
     idf: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray]]
-    maxima: list[tuple[np.ndarray, np.ndarray]]
+    examples: np.ndarray
+    values: np.ndarray
+    starts: np.ndarray
+    maxima: np.ndarray
     labels: np.ndarray
     block: int
     nearest: int
     prior: float
     calibration: tuple[float, float]
 
+    @property
+    def postings(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(examples, weights) of every word."""
+        return [(self.examples[s[0] : s[-1]], self.values[s[0] : s[-1]]) for s in self.starts]
+
     def vector(self, terms: Counter) -> tuple[np.ndarray, np.ndarray]:
         """Vocabulary ids and unit-length weights; both empty where no word is known."""
         found = sorted((self.ids[w], many) for w, many in terms.items() if w in self.ids)
@@ -61,28 +75,31 @@ class ToxicityModel:
 
     def neighbours(self, ids: np.ndarray, weights: np.ndarray, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The nearest examples by exact cosine, ties to the smaller example; those at cosine 0 are no neighbours."""
-        bounds = np.zeros(-(-len(self.labels) // self.block))
-        for t, w in zip(ids, weights, strict=True):
-            blocks, largest = self.maxima[t]
-            bounds[blocks] += w * largest
+        bounds = weights @ self.maxima[ids]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
         found = np.empty(0, np.int64)
         near = np.empty(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(near) >= self.nearest and bounds[block] < near[self.nearest - 1] - 1e-12):
-                break
-            start = int(block) * self.block
-            cosines = np.zeros(min(self.block, len(self.labels) - start))
-            for t, w in zip(ids, weights, strict=True):
-                examples, values = self.postings[t]
-                low, high = np.searchsorted(examples, [start, start + self.block])
-                cosines[examples[low:high] - start] += w * values[low:high]
-            if start <= leave < start + len(cosines):
-                cosines[leave - start] = 0
+        wave = FIRST_WAVE
+        while len(order):
+            blocks, order = order[:wave], order[wave:]
+            wave *= 2
+            low = self.starts[ids[:, None], blocks].ravel()
+            sizes = self.starts[ids[:, None], blocks + 1].ravel() - low
+            places = np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            products = np.repeat(np.repeat(weights, len(blocks)), sizes) * self.values[places]
+            cosines = np.bincount(self.examples[places], products, len(self.labels))
+            if leave >= 0:
+                cosines[leave] = 0
             inside = np.flatnonzero(cosines > 0)
-            found = np.append(found, inside + start)
+            found = np.append(found, inside)
             near = np.append(near, cosines[inside])
-            order = np.lexsort((found, -near))[: self.nearest]
-            found, near = found[order], near[order]
+            if len(near) >= self.nearest:
+                edge = -np.partition(-near, self.nearest - 1)[self.nearest - 1]
+                found, near = found[near >= edge], near[near >= edge]
+                order = order[bounds[order] >= edge - 1e-12]
+            best = np.lexsort((found, -near))[: self.nearest]
+            found, near = found[best], near[best]
         return found, near
 
     def vote(self, found: np.ndarray, near: np.ndarray) -> float:
@@ -123,25 +140,29 @@ def train(
     model = ToxicityModel(
         {w: i for i, w in enumerate(chosen)},
         np.array([np.log((many + 1) / (df[w] + 0.5)) for w in chosen]),
-        [],
-        [],
+        np.empty(0, np.int64),
+        np.empty(0),
+        np.empty(0, np.int64),
+        np.empty(0),
         truth,
         block,
         nearest,
         prior,
         (1.0, 0.0),
     )
-    lists: list[list[tuple[int, float]]] = [[] for _ in chosen]
     vectors = [model.vector(terms) for terms in counted]
-    for i, (ids, weights) in enumerate(vectors):
-        for t, w in zip(ids.tolist(), weights.tolist(), strict=True):
-            lists[t].append((i, w))
-    for pairs in lists:
-        examples = np.array([i for i, _ in pairs], np.int64)
-        values = np.array([w for _, w in pairs])
-        model.postings.append((examples, values))
-        blocks, firsts = np.unique(examples // block, return_index=True)
-        model.maxima.append((blocks, np.maximum.reduceat(values, firsts) if len(values) else values))
+    lengths = [len(ids) for ids, _ in vectors]
+    words = np.concatenate([np.empty(0, np.int64), *(ids for ids, _ in vectors)])
+    order = np.argsort(words, kind="stable")
+    model.examples = np.repeat(np.arange(many), lengths)[order]
+    model.values = np.concatenate([np.empty(0), *(weights for _, weights in vectors)])[order]
+    blocks = -(-many // block)
+    cells = words[order] * blocks + model.examples // block
+    ends = np.searchsorted(cells, np.arange(len(chosen))[:, None] * blocks + np.arange(blocks + 1)[None])
+    model.starts = ends
+    largest = np.zeros(len(chosen) * blocks)
+    np.maximum.at(largest, cells, model.values)
+    model.maxima = largest.reshape(len(chosen), blocks)
     if 0 < toxic < many:
         votes = np.array([model.vote(*model.neighbours(*v, leave=i)) for i, v in enumerate(vectors)])
         slope, shift = logistic(np.log(np.maximum(votes, 1e-6))[:, None], truth, ridge=0.1)
