@@ -12,10 +12,10 @@ from lakemart.operators.joins import interval_pairs, spine_join
 from lakemart.operators.ordering import latest_per_key, newest_first, top_rows
 from lakemart.operators.rolling import rolling_zscore, with_next, with_previous
 from lakemart.operators.shaping import (
-    apply_filters,
+    matching,
+    only,
     portable,
     rename,
-    select_columns,
     union_by_name,
 )
 from lakemart.plans import derivations as D
@@ -266,7 +266,7 @@ def scalar_concat(spark, sf):
 )
 def rename_map(spark, sf):
     mapping = {"p_partkey": "security_id", "p_name": "display_name", "p_brand": "industry", "p_type": "market"}
-    return select_columns(rename(table(spark, sf, "part"), mapping), list(mapping.values()))
+    return only(rename(table(spark, sf, "part"), mapping), list(mapping.values()))
 
 
 @query(
@@ -286,7 +286,7 @@ def read_filters(spark, sf):
     }
     return union_by_name(
         [
-            select_columns(apply_filters(customers, filters), ["c_custkey", "c_name"]).select(F.lit(name).alias("filter"), "*")
+            only(matching(customers, filters), ["c_custkey", "c_name"]).select(F.lit(name).alias("filter"), "*")
             for name, filters in cases.items()
         ]
     )

@@ -2,43 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from functools import reduce
+from operator import and_
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-class UnsupportedFilter(ValueError):
-    """A filter that is neither ``=`` nor ``in``."""
-
-
-def select_columns(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
-    if columns is None:
-        return df
-    if not columns:
-        raise ValueError("columns must not be empty")
-    return df.select(*columns)
-
-
-def apply_filters(df: DataFrame, filters: Sequence[tuple[str, str, Any]] | None) -> DataFrame:
-    """ANDed ``=`` / ``in`` filters; an empty ``in`` keeps nothing."""
-    for spec in filters or ():
-        if len(spec) != 3:
-            raise UnsupportedFilter(spec)
-        name, operator, value = spec
-        kind = operator.strip().lower()
-        if kind == "=":
-            df = df.where(F.col(name) == F.lit(value))
-        elif kind == "in":
-            if isinstance(value, (str, bytes)) or not isinstance(value, Sequence):
-                raise UnsupportedFilter(spec)
-            df = df.where(F.col(name).isin(list(value)) if value else F.lit(False))
-        else:
-            raise UnsupportedFilter(spec)
-    return df
+class FilterError(ValueError):
+    """A condition no reader may ask for."""
+
+
+def _one_of(column: Column, values: Any) -> Column:
+    if isinstance(values, (str, bytes, Mapping)) or not isinstance(values, Collection):
+        raise FilterError(f"a collection of values is needed, not {values!r}")
+    return column.isin(*values) if values else F.lit(False)
+
+
+#: Conditions a reader may ask for, each as the column it builds.
+CONDITIONS: dict[str, Callable[[Column, Any], Column]] = {"=": lambda column, value: column == F.lit(value), "in": _one_of}
+
+
+def condition(name: str, test: str, value: Any) -> Column:
+    build = CONDITIONS.get(test.strip().lower())
+    if build is None:
+        raise FilterError(f"{name} {test}: choose one of {', '.join(CONDITIONS)}")
+    return build(F.col(name), value)
+
+
+def matching(df: DataFrame, conditions: Iterable[tuple[str, str, Any]] | None) -> DataFrame:
+    """Rows that meet every (column, test, value); no value is in an empty collection."""
+    wanted = []
+    for item in conditions or ():
+        if len(item) != 3:
+            raise FilterError(f"(column, test, value) is needed, not {item!r}")
+        wanted.append(condition(*item))
+    return df.where(reduce(and_, wanted)) if wanted else df
+
+
+def only(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+    """The named columns, all of them for None; naming none at all is a mistake."""
+    if columns is not None and not len(columns):
+        raise ValueError("name a column, or pass None for all of them")
+    return df if columns is None else df.select(*columns)
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

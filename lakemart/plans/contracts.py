@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -43,17 +45,9 @@ def forbidden_fields(schema: T.StructType, lineage: bool = False, event: bool =
 
 def forbidden_formal_fields(schema: T.StructType) -> list[str]:
     """Paths that would reveal a source or provider to readers of a formal object."""
-
-    def reveals(name: str) -> bool:
-        plain = name.strip().lower()
-        return (
-            plain in FORMAL_FORBIDDEN
-            or plain.startswith(("source", "provider"))
-            or "_source" in plain
-            or "_provider" in plain
-        )
-
-    return sorted(path for path, name in field_paths(schema) if reveals(name))
+    listed = "|".join(FORMAL_FORBIDDEN)
+    telling = re.compile(rf"(?:{listed})|(?:source|provider).*|.*_(?:source|provider).*", re.IGNORECASE | re.DOTALL)
+    return sorted(path for path, name in field_paths(schema) if telling.fullmatch(name.strip()))
 
 
 def schema_differences(actual: T.StructType, expected: T.StructType, nullability: bool = False) -> list[str]:
@@ -84,64 +78,76 @@ def require_contract(
 
 # --------------------------------------------------------------- evolution
 
+#: A column before and after; the missing side of a new or removed column is None.
+Pair = tuple[T.StructField | None, T.StructField | None]
 
-@dataclass(frozen=True)
-class SchemaChange:
-    kind: str
-    field_name: str
-    from_type: str | None
-    to_type: str
+# Types a value fits into without loss, and types a new column may have.
+WIDER = {"int": "bigint", "float": "double"}
+ADDABLE = (
+    T.BooleanType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType, T.StringType, T.DateType,
+    T.TimestampType, T.TimestampNTZType,
+)
 
 
 @dataclass(frozen=True)
-class EvolutionPlan:
-    changes: tuple[SchemaChange, ...]
-    rejections: tuple[str, ...]
+class ColumnStep:
+    """One permitted step; ``before`` is None for a new column."""
 
-    @property
-    def requires_backfill(self) -> bool:
-        return any(c.kind == "add_column" for c in self.changes)
+    kind: str
+    column: str
+    before: T.DataType | None
+    after: T.DataType
 
 
-WIDENINGS = {(T.IntegerType(), T.LongType()), (T.FloatType(), T.DoubleType())}
-EVOLVABLE = (
-    T.StringType, T.BooleanType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType,
-    T.TimestampType, T.TimestampNTZType, T.DecimalType,
-)
+@dataclass(frozen=True)
+class Evolution:
+    """Permitted steps, and the reasons for which the target cannot be reached by them."""
 
+    changes: list[ColumnStep]
+    rejections: list[str]
 
-def plan_evolution(current: T.StructType, target: T.StructType) -> EvolutionPlan:
-    """Additive and widening changes; everything else is a rejection."""
-    have = {f.name: f for f in current.fields}
-    want = {f.name: f for f in target.fields}
-    removed = [n for n in have if n not in want]
-    added = [n for n in want if n not in have]
-    rejections = [f"drop column is not supported: {n}" for n in removed]
-    if removed and added:
-        rejections.append(f"rename column is not supported: removed={', '.join(removed)} added={', '.join(added)}")
-    if [n for n in want if n in have] != list(have):
-        rejections.append("column reorder is not supported")
-    names = list(want)
-    if added and any(n in have for n in names[min(names.index(n) for n in added):]):
-        rejections.append("add column is only supported at the end")
-    changes = []
-    for name in (n for n in have if n in want):
-        before, after = have[name], want[name]
-        if before.nullable != after.nullable:
-            rejections.append(f"nullability change is not supported: {name}")
-        if before.dataType == after.dataType:
-            continue
-        types = before.dataType.simpleString(), after.dataType.simpleString()
-        if (before.dataType, after.dataType) in WIDENINGS:
-            changes.append(SchemaChange("widen_type", name, *types))
-        else:
-            rejections.append(f"type change is not allowed: {name}: {types[0]} -> {types[1]}")
-    for name in added:
-        field = want[name]
-        if not field.nullable:
-            rejections.append(f"add required column is not supported: {name}")
-        elif not isinstance(field.dataType, EVOLVABLE):
-            rejections.append(f"unsupported type: {name}: {field.dataType.simpleString()}")
-        else:
-            changes.append(SchemaChange("add_column", name, None, field.dataType.simpleString()))
-    return EvolutionPlan(tuple(changes), tuple(rejections))
+    @property
+    def requires_backfill(self) -> bool:
+        """A new column is NULL in older rows until it is filled."""
+        return any(step.before is None for step in self.changes)
+
+
+def _fits(old: T.StructField, new: T.StructField) -> bool:
+    return old.dataType == new.dataType or WIDER.get(old.dataType.simpleString()) == new.dataType.simpleString()
+
+
+# What is wrong with one pair: (applies to pairs with the sides "old", "new" or "both", test, reason).
+FAULTS: list[tuple[str, Callable[[Pair], bool], str]] = [
+    ("old", lambda pair: True, "{0} would be lost"),
+    ("new", lambda pair: not pair[1].nullable, "{0} is new, so older rows hold no value and it must be nullable"),
+    ("new", lambda pair: not isinstance(pair[1].dataType, ADDABLE), "{0} is new and of a type no table may gain"),
+    ("both", lambda pair: pair[0].nullable != pair[1].nullable, "{0} must stay as nullable as it is"),
+    ("both", lambda pair: not _fits(*pair), "{0} holds values that its new type may not"),
+]
+
+
+def plan_evolution(current: T.StructType, target: T.StructType) -> Evolution:
+    """What leads from ``current`` to ``target``: new nullable columns behind the old ones, and wider numbers.
+
+    The columns of both are laid side by side by name; each pair is held against FAULTS, and a pair
+    without a fault that differs is a step.  Two rules regard the table as a whole: the old
+    columns come first in their order, and nothing is lost where something is new (a rename).
+    """
+    before = {f.name: f for f in current}
+    after = {f.name: f for f in target}
+    steps, reasons = [], []
+    for name in dict.fromkeys([*before, *after]):
+        pair = before.get(name), after.get(name)
+        side = "old" if pair[1] is None else "new" if pair[0] is None else "both"
+        faults = [text.format(name) for where, wrong, text in FAULTS if where == side and wrong(pair)]
+        reasons += faults
+        if not faults and side == "new":
+            steps.append(ColumnStep("add_column", name, None, pair[1].dataType))
+        elif not faults and pair[0].dataType != pair[1].dataType:
+            steps.append(ColumnStep("widen_type", name, pair[0].dataType, pair[1].dataType))
+    if target.names[: len(before)] != current.names:
+        reasons.append("the first columns must be the present ones in their order")
+    lost, gained = before.keys() - after.keys(), after.keys() - before.keys()
+    if lost and gained:
+        reasons.append(f"a rename cannot be told from a loss: {sorted(lost)} and {sorted(gained)}")
+    return Evolution(steps, reasons)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.operators.quality import pairing_report
-from lakemart.operators.shaping import apply_filters, select_columns
+from lakemart.operators.shaping import matching, only
 from lakemart.plans import contracts, manifests, schemas
 from lakemart.sources.raw_zone import read_or_empty
 
@@ -226,7 +226,7 @@ def read_table(
     entry = _entry(spark, root, table, snapshot_id)
     schema = T.StructType.fromJson(json.loads(entry["schema"]))
     df = _read(spark, root, table, entry["snapshot_id"], schema, entry["month_of"])
-    kept = select_columns(apply_filters(df, filters), columns)
+    kept = only(matching(df, filters), columns)
     return kept.drop("trade_month") if columns is None else kept
 
 
@@ -246,7 +246,7 @@ def stock_basic(spark: SparkSession, root: str, active_only: bool = True) -> Dat
 
 def evolve_table(
     spark: SparkSession, root: str, table: str, target: T.StructType, dry_run: bool = True
-) -> contracts.EvolutionPlan:
+) -> contracts.Evolution:
     """Plans, and unless ``dry_run`` applies, a schema change as a new snapshot.
 
     Older snapshots keep their files and schema.
