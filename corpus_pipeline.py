@@ -10,45 +10,58 @@ from pyspark.sql import functions as F
 from lakemart.llm import mixing, neardup, packing, quality, toxicity
 from lakemart.llm.common import table
 from lakemart.llm.queries import LEAST_QUALITY, LEAST_TOXIC, tokenizer_path
-from lakemart.session import shared_folder
+from lakemart.session import materialize, shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def keep_by_score(docs: DataFrame, scored: DataFrame, keep) -> DataFrame:
-    """Rows of ``docs`` whose score passes; documents with a NULL id or that repeat an id are scored as one."""
-    passing = scored.groupBy(F.col("doc_id").alias("id")).agg(F.max(keep.cast("int")).alias("pass")).where("pass = 1")
-    return docs.join(passing, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select(*COLUMNS)
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row, written once, so that every decision is taken for a row and not for an id."""
+    return materialize(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()))
+
+
+def by_row(rows: DataFrame) -> DataFrame:
+    """Rows of ``keyed`` under their number in place of doc_id, which may be NULL or stand more than once."""
+    return rows.select(F.col("row").alias("doc_id"), "text")
+
+
+def keep_by_score(rows: DataFrame, scored: DataFrame, keep) -> DataFrame:
+    """Rows of ``keyed`` whose own score passes."""
+    return rows.join(scored.where(keep).select(F.col("doc_id").alias("row")), "row", "left_semi").select(*COLUMNS)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier accepts."""
     raw = table(spark, sf_dir, "documents")
     model = quality.fit(raw, table(spark, sf_dir, "labels"))
-    return keep_by_score(docs, quality.score(docs, model), F.col("score") >= LEAST_QUALITY)
+    rows = keyed(docs)
+    return keep_by_score(rows, quality.score(by_row(rows), model), F.col("score") >= LEAST_QUALITY)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the toxicity scorer does not reject."""
     raw = table(spark, sf_dir, "documents")
     model = toxicity.fit(raw, table(spark, sf_dir, "labels"))
-    return keep_by_score(docs, toxicity.score(docs, model), F.col("score") < LEAST_TOXIC)
+    rows = keyed(docs)
+    return keep_by_score(rows, toxicity.score(by_row(rows), model), F.col("score") < LEAST_TOXIC)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, at a similarity of 0.8 on five-word shingles."""
-    groups = neardup.near_duplicates(docs, neardup.NearDup(percent=80))
-    kept = groups.where("kept").select(F.col("doc_id").alias("id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select(*COLUMNS)
+    """One row of each near-duplicate group, the one with the smallest id, at a similarity of 0.8 on five-word shingles."""
+    rows = keyed(docs)
+    groups = neardup.near_duplicates(by_row(rows), neardup.NearDup(percent=80))
+    named = groups.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", "doc_id"), "row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))
+    kept = named.groupBy("component_id").agg(first.alias("first")).select("first.row")
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; one taken in part counts as taken, those without words are left out."""
-    taken = mixing.mix(docs).select(
-        F.col("doc_id").alias("id"), F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).alias("copies")
-    )
-    taken = taken.groupBy("id").agg(F.max("copies").cast("int").alias("copies")).where("copies > 0")
-    repeated = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("id")))
+    """Rows as often as the mix takes them; one taken in part counts as taken, those without words are left out."""
+    rows = keyed(docs)
+    taken = mixing.mix(rows, carry="row").where("size > 0 and taken > 0")
+    taken = taken.select("row", F.ceil(F.col("taken") / F.col("size")).cast("int").alias("copies"))
+    repeated = rows.join(taken, "row")
     return repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 

@@ -5,12 +5,13 @@ transform) and names the nearest signed axis.  A query probes the ``probes`` sig
 in every table.  The queries go to the workers in blocks of bounded size, sorted into the buckets they
 probe; the rows stay where they are scanned, meet the queries that probe their buckets and are
 reranked by exact distance.  A task passes on ``k`` rows a query, so nothing but those is shuffled.
+A query that meets fewer than ``k`` ids in its buckets is then compared with all rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -18,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemart.llm.common import materialize
+
 
 @dataclass(frozen=True)
 class CrossPolytope:
@@ -64,6 +67,13 @@ def probed(vectors: np.ndarray, table: int, spec: CrossPolytope) -> np.ndarray:
     return np.argsort(-sides, 1, kind="stable")[:, : spec.probes]
 
 
+def nearest_ids(ids: np.ndarray, exact: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` nearest different ids with their least distances, ties to smaller ids."""
+    order = np.lexsort((ids, exact))
+    order = order[np.sort(np.unique(ids[order], return_index=True)[1])[:k]]
+    return ids[order], exact[order]
+
+
 class QueryBlock:
     """Queries of one dimension; ``wanted[t]``: signed axis by query, true where the query probes it."""
 
@@ -75,7 +85,14 @@ class QueryBlock:
             self.wanted[t][probed(vectors, t, spec).T, np.arange(len(ids))] = True
 
     def nearest(self, ids: np.ndarray, vectors: np.ndarray, k: int, spec: CrossPolytope) -> list[tuple[np.ndarray, ...]]:
-        """(query position, ids, distances) of the k nearest candidates among the given rows, ties to smaller ids."""
+        """(query position, ids, distances) of the k nearest ids among the given rows, ties to smaller ids."""
+        names, firsts = np.unique(ids, return_index=True)
+        repeated = len(names) < len(ids)
+        if repeated:
+            # Equal ids side by side; of equal rows one stays.
+            both = np.unique(np.column_stack([ids, vectors.view(np.int64)]), axis=0)
+            ids, vectors = both[:, 0].copy(), both[:, 1:].copy().view(np.float64)
+            names, firsts = np.unique(ids, return_index=True)
         codes = [buckets(vectors, t, spec.seed) for t in range(spec.tables)]
         squares = (vectors**2).sum(1)
         found = []
@@ -89,8 +106,9 @@ class QueryBlock:
             seen &= self.ids[at : at + step, None] != ids[None]
             rough = (some**2).sum(1)[:, None] + squares[None] - 2 * some @ vectors.T
             rough[~seen] = np.inf
-            if len(ids) > k:
-                edge = np.partition(rough, k - 1, axis=1)[:, k - 1]
+            if len(names) > k:
+                smallest = np.minimum.reduceat(rough, firsts, axis=1) if repeated else rough
+                edge = np.partition(smallest, k - 1, axis=1)[:, k - 1]
             else:
                 edge = np.full(len(some), np.inf)
             # Rounding of the expanded square; rows this close to the k-th are measured exactly.
@@ -98,9 +116,8 @@ class QueryBlock:
             for i in range(len(some)):
                 near = np.flatnonzero(np.isfinite(rough[i]) & (rough[i] <= edge[i] + slack[i]))
                 exact = np.sqrt(((vectors[near] - some[i]) ** 2).sum(1))
-                order = np.lexsort((ids[near], exact))[:k]
-                if len(order):
-                    found.append((at + i, ids[near][order], exact[order]))
+                if len(near):
+                    found.append((at + i, *nearest_ids(ids[near], exact, k)))
         return found
 
 
@@ -128,17 +145,17 @@ def search(
     """query_id, rank, <id_column>, score: the ``k`` nearest rows found of every query, by Euclidean distance.
 
     A query is no candidate of its own id.  Vectors that are NULL, zero or hold NULL or non-finite
-    components, and NULL ids, take no part; vectors of different lengths never meet.  Rows that repeat
-    an id and vector count once.  Hashing looks at directions only, so recall is measured for vectors of
-    about equal length.  Other columns are ignored.
+    components, and NULL ids, take no part; vectors of different lengths never meet.  An id that stands on
+    several rows counts once, with its nearest vector; a query gets all candidates if there are fewer than ``k``.
+    Hashing looks at directions only, so recall is measured for vectors of about equal length.  Other columns
+    are ignored.
     """
     spark = rows.sparkSession
     pick = [F.col(id_column).cast("long").alias("id"), F.col(vector).alias("v")]
     asked = queries.select(*pick).where(usable("v") & F.col("id").isNotNull()).distinct()
     points = rows.select(*pick).where(usable("v") & F.col("id").isNotNull())
-    blocks = max(1, -(-asked.count() // (spec.query_block // 2)))
 
-    def found(number: int) -> DataFrame:
+    def found(asked: DataFrame, number: int, blocks: int, spec: CrossPolytope) -> DataFrame:
         mine = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == number).toPandas()
         shared = spark.sparkContext.broadcast(
             {v.shape[1]: QueryBlock(i, v, spec) for i, v in by_width(mine["id"], mine["v"])}
@@ -152,18 +169,25 @@ def search(
                     for at, near, exact in block.nearest(ids, vectors, k, spec) if block else ():
                         key = vectors.shape[1], at
                         if key in best:
-                            near, exact = np.append(best[key][0], near), np.append(best[key][1], exact)
-                            order = np.lexsort((near, exact))
-                            order = order[np.append(True, np.diff(near[order]) != 0)][:k]
-                            near, exact = near[order], exact[order]
+                            near, exact = nearest_ids(np.append(best[key][0], near), np.append(best[key][1], exact), k)
                         best[key] = near, exact
             for (width, at), (near, exact) in best.items():
                 yield pd.DataFrame({"query_id": shared.value[width].ids[at], "id": near, "score": exact})
 
         return points.mapInPandas(task, "query_id long, id long, score double")
 
-    everything = reduce(DataFrame.unionAll, [found(n) for n in range(blocks)])
-    nearest = everything.groupBy("query_id", "id").agg(F.min("score").alias("score"))
+    def best(asked: DataFrame, spec: CrossPolytope) -> DataFrame:
+        blocks = max(1, -(-asked.count() // (spec.query_block // 2)))
+        everything = reduce(DataFrame.unionAll, [found(asked, n, blocks, spec) for n in range(blocks)])
+        return everything.groupBy("query_id", "id").agg(F.min("score").alias("score"))
+
+    nearest = materialize(best(asked, spec))
+    enough = nearest.groupBy("query_id").agg(F.count("*").alias("many")).where(F.col("many") >= k)
+    short = materialize(asked.join(enough, asked["id"] == enough["query_id"], "left_anti"))
+    if not short.isEmpty():
+        # Every signed axis of one table: all rows.
+        nearest = nearest.unionAll(best(short, replace(spec, tables=1, probes=1 << 31)))
+        nearest = nearest.groupBy("query_id", "id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "id")
     ranked = nearest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_column), "score")

@@ -3,8 +3,8 @@
 All rolling word k-gram hashes of all texts are joined with the positions where the same k-gram stands
 in a template.  A hit votes for its diagonal (place in the text minus place in the template); an
 unchanged passage puts all its votes on one diagonal, and an inserted or missing word moves them to
-a neighbouring one.  Neighbouring diagonals are merged and the merged span is verified by the share
-of the template's k-grams it covers.
+a neighbouring one.  Neighbouring diagonals are merged; a merged passage is a candidate if it holds enough
+different k-grams of the template, and counts as far as these follow each other in the template's order.
 """
 
 from __future__ import annotations
@@ -74,12 +74,39 @@ def template_rows(phrases: Mapping[str, str], templates: Mapping[str, str]) -> l
     return rows
 
 
+def chains(places: np.ndarray, at: np.ndarray, of: int) -> list[tuple[int, int, float]]:
+    """(first, last, cover) of the passages whose hits follow the template in order, best first, none overlapping.
+
+    From one hit of a chain to the next, place and position in the template rise and the diagonal moves by
+    ``NEIGHBOURS`` at most.  A hit has ``of`` predecessors times a few places, whatever the text's length.
+    """
+    order = np.lexsort((at, places))
+    length: dict[tuple[int, int], tuple[int, int]] = {}  # (place, at): grams of the longest chain to it, its first place
+    for place, spot in zip(places[order].tolist(), at[order].tolist(), strict=True):
+        best = (1, place)
+        for back in range(1, spot + 1):
+            for drift in range(max(-NEIGHBOURS, 1 - back), NEIGHBOURS + 1):
+                before = length.get((place - back - drift, spot - back))
+                if before and (before[0] + 1, before[1]) > best:
+                    best = (before[0] + 1, before[1])
+        length[place, spot] = best
+    found: list[tuple[int, int, float]] = []
+    ends = [(-many, place - first, first, place) for (place, _), (many, first) in length.items() if many / of >= COVER]
+    taken: set[int] = set()
+    for many, _, first, last in sorted(ends):
+        span = range(first, last + GRAM)
+        if taken.isdisjoint(span):
+            taken.update(span)
+            found.append((first, last, -many / of))
+    return found
+
+
 def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans per row of ``docs``.
 
     n_base counts the places of ``phrases``, first_word and last_word are their smallest and largest
-    start.  spans: (label, start, end, cover) of every verified passage, ends exclusive.  score: the
-    largest cover, 0 without a passage.  NULL or empty text has no words and no labels.  Rows that repeat
+    start.  spans: (label, start, end, cover) of every verified passage, ends exclusive; cover is the share of the
+    template's grams that stand there in its order.  score: the largest cover, 0 without a passage.  NULL or empty text has no words and no labels.  Rows that repeat
     a doc_id are scanned each; other columns are ignored.
     """
 
@@ -117,9 +144,7 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mappi
     placed = placed.withColumn("gram", F.when(F.col("place") >= 0, F.col("gram")))
     hits = placed.join(F.broadcast(known), "gram", "left").where("place < 0 or template is not null")
     diagonals = hits.groupBy("row", "doc_id", "template", "of", "label", "exact", (F.col("place") - F.col("at")).alias("diagonal")).agg(
-        F.count_distinct("at").alias("votes"),
-        F.min("place").alias("low"),
-        F.max("place").alias("high"),
+        F.collect_set("at").alias("at"),
         F.max(F.when(F.col("place") < 0, F.col("n_words"))).alias("n_words"),
     )
     # A passage of a template starts where the gap to the diagonal before is larger than allowed;
@@ -131,13 +156,33 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mappi
         .withColumn("passage", F.sum("new").over(along))
         .groupBy("row", "doc_id", "template", "of", "label", "exact", "passage")
         .agg(
-            F.sum("votes").alias("votes"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
+            F.flatten(F.collect_list(F.transform("at", lambda a: F.struct((F.col("diagonal") + a).alias("place"), a.alias("at"))))).alias("hits"),
             F.max("n_words").alias("n_words"),
         )
-        .withColumn("cover", F.when(F.col("template").isNotNull(), F.least(F.col("votes") / F.col("of"), F.lit(1.0))))
-        .where((F.col("cover") >= F.when(F.col("exact"), 1.0).otherwise(COVER)) | F.col("template").isNull())
+        .withColumn("votes", F.size(F.array_distinct("hits.at")))
+        .where((F.col("votes") / F.col("of") >= F.when(F.col("exact"), 1.0).otherwise(COVER)) | F.col("template").isNull())
+    )
+
+    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            spans = []
+            for places, at, of, exact in zip(batch["places"], batch["at"], batch["of"], batch["exact"], strict=True):
+                if pd.isna(of):
+                    spans.append([(None, None, None)])
+                elif exact:
+                    spans.append([(int(min(places)), int(max(places)), 1.0)])
+                else:
+                    spans.append(chains(np.asarray(places), np.asarray(at), int(of)))
+            batch["span"] = spans
+            rows = batch.explode("span").dropna(subset="span")
+            for i, name in enumerate(("low", "high", "cover")):
+                rows[name] = pd.array([span[i] for span in rows["span"]], "Float64" if name == "cover" else "Int64")
+            yield rows[["row", "doc_id", "label", "exact", "n_words", "low", "high", "cover"]]
+
+    passages = passages.select(
+        "row", "doc_id", "label", "exact", "n_words", "of", F.col("hits.place").alias("places"), F.col("hits.at").alias("at")
+    ).mapInPandas(
+        verified, "row long, doc_id long, label string, exact boolean, n_words long, low long, high long, cover double"
     )
     base = F.col("exact")
     span = F.struct(F.col("label"), F.col("low").alias("start"), (F.col("high") + GRAM).alias("end"), F.col("cover"))
@@ -151,5 +196,5 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mappi
         joined(F.when(base, F.col("label"))).alias("base_labels"),
         joined("label").alias("labels"),
         F.coalesce(F.max("cover"), F.lit(0.0)).alias("score"),
-        F.array_sort(F.collect_list(F.when(F.col("template").isNotNull(), span))).alias("spans"),
+        F.array_sort(F.collect_list(F.when(F.col("label").isNotNull(), span))).alias("spans"),
     ).drop("row")

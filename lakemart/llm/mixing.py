@@ -115,6 +115,7 @@ def mix(
     max_copies: int = 2,
     seed: str = "mix",
     sources: str = "source",
+    carry: str | None = None,
 ) -> DataFrame:
     """doc_id, size, pattern, source_size, target, taken of every row of ``docs``.
 
@@ -125,12 +126,15 @@ def mix(
     times its size; the last document taken of a pattern may be taken in part, so quotas are met
     to a word.  NULL or blank text has size 0 and is taken 0 times; a NULL or empty array
     is the NULL source; rows that repeat a doc_id count each; equal seeds give equal mixes.
+    ``carry`` names a column that is passed on, to tell such rows apart.
     """
+    carried = [carry] if carry else []
     listed = F.col(sources) if isinstance(docs.schema[sources].dataType, T.ArrayType) else F.array(F.col(sources))
     pattern = F.array_sort(F.array_distinct(F.transform(listed, lambda s: F.when(s.isNotNull(), F.concat(F.lit("="), s)))))
     pattern = F.when(F.size(listed) > 0, pattern).otherwise(F.array(F.lit(None).cast("string")))
     sized = materialize(
         docs.select(
+            *carried,
             F.col("doc_id"),
             word_count().alias("size"),
             F.to_json(F.transform(pattern, lambda s: F.coalesce(s, F.lit("-")))).alias("pattern"),
@@ -172,7 +176,7 @@ def mix(
 
     part = F.pmod(F.conv(F.substring("place", 1, 6), 16, 10).cast("long"), F.lit(PARTS))
     parted = sized.withColumn("part", part)
-    inside = Window.partitionBy("pattern", "part").orderBy("place", "doc_id", "size")
+    inside = Window.partitionBy("pattern", "part").orderBy("place", "doc_id", "size", *carried)
     before = parted.withColumn("ahead", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)))
     across = Window.partitionBy("pattern").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parted.groupBy("pattern", "part").agg(F.sum("size").alias("words"))
@@ -180,6 +184,7 @@ def mix(
     offsets = offsets.join(planned, "pattern")
     left = F.col("rest") - F.col("earlier") - F.coalesce("ahead", F.lit(0))
     return before.join(offsets, ["pattern", "part"]).select(
+        *carried,
         "doc_id",
         "size",
         F.col("pattern"),

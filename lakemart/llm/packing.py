@@ -4,8 +4,8 @@ Every task tokenises its documents, cuts whole windows off long ones and pools w
 window is filled with the longest remaining piece and the multiset of pooled lengths that comes
 closest to the room left: a bitset holds the sums reachable with the lengths so far (bit s is set
 when s can be reached), and the stored bitsets are walked back to the counts.  Pieces of one length
-are alike, so only counts per length matter.  When the task's input ends, pieces may be cut once
-more, so at most one window a task is not full.
+are alike, so only counts per length matter.  Where the best sum leaves room, the longest piece left is cut
+to fill it, so at most one window a task, its last, is not full.
 """
 
 from __future__ import annotations
@@ -129,14 +129,14 @@ class Packer:
             offset += len(ids)
         self.sequence += 1
 
-    def step(self, last: bool = False) -> None:
-        """One window: the longest piece left and the best fill of the room beside it."""
+    def step(self) -> None:
+        """One window: the longest piece left, the best fill of the room beside it, and a cut piece for what is still free."""
         longest = int(np.flatnonzero(self.counts)[-1])
         pieces = [self.take(longest)]
         for length, many in fill(self.counts, self.window - longest):
             pieces += [self.take(length) for _ in range(many)]
         room = self.window - sum(len(p[2]) for p in pieces)
-        if last and room and self.counts.any():
+        if room and self.counts.any():
             doc_id, start, ids, tokens = self.take(int(np.flatnonzero(self.counts)[-1]))
             pieces.append((doc_id, start, ids[:room], tokens))
             self.keep((doc_id, start + room, ids[room:], tokens))
@@ -144,7 +144,7 @@ class Packer:
 
     def finish(self) -> None:
         while self.counts.any():
-            self.step(last=True)
+            self.step()
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1) -> DataFrame:

@@ -88,6 +88,27 @@ def test_search_of_nothing(frame):
     assert ann.search(none, none).count() == 0
 
 
+def test_search_counts_an_id_once_and_fills_up(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(12, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    rows += [(1, vectors[1].tolist())] * 15 + [(2, (vectors[2] + 1e-3 * i).tolist()) for i in range(15)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    narrow = ann.CrossPolytope(tables=1, probes=1)
+    for spec in (ann.CrossPolytope(), narrow):
+        found = ann.search(table, table.where("vec_id = 0"), spec=spec).collect()
+        least = {}
+        for i, v in rows:
+            if i:
+                least[i] = min(least.get(i, np.inf), float(np.linalg.norm(np.array(v) - vectors[0])))
+        mine = [r["vec_id"] for r in sorted(found, key=lambda r: r["rank"])]
+        assert len(mine) == len(set(mine)) == 10
+        if spec == narrow:
+            assert mine == sorted(least, key=least.get)[:10]
+    few = table.where("vec_id < 6")
+    assert ann.search(few, few, spec=narrow).count() == 6 * 5
+
+
 def test_hadamard_keeps_lengths():
     values = np.random.default_rng(0).normal(size=(5, 32))
     assert np.allclose(np.linalg.norm(ann.hadamard(values), axis=1), np.linalg.norm(values, axis=1))
@@ -132,6 +153,23 @@ def test_packing_round_trip(docs, empty):
     assert packing.pack(empty, path).count() == 0
 
 
+def test_full_pool_cuts_pieces_of_one_length():
+    packer = packing.Packer(2048)
+    for i in range(packing.POOL + 500):
+        packer.add(i, np.full(1500, i, np.uint32))
+    before = packer.sequence
+    assert before > 0
+    packer.finish()
+    ends, cover = Counter(), Counter()
+    for doc_id, start, ids, tokens, sequence, offset in packer.rows:
+        assert offset == ends[sequence] and (ids == doc_id).all() and tokens == 1500
+        ends[sequence] += len(ids)
+        cover.update((doc_id, at) for at in (start, start + len(ids)))
+    assert sum(ends.values()) == 1500 * (packing.POOL + 500)
+    assert [s for s, n in ends.items() if n < 2048] in ([], [packer.sequence - 1])
+    assert all(cover[d, 0] == cover[d, 1500] == 1 for d in range(packing.POOL + 500))
+
+
 def test_extraction(frame):
     shared = "<div><p>Subscribe to our letter today</p></div>"
     rows = [(i, f"http://h.example/{i}", f"<body>{shared}<div><p>Own text &amp; number {i}</p></div></body>") for i in range(8)]
@@ -167,6 +205,18 @@ def test_licenses(docs, empty, frame):
     assert licenses.scan(empty).count() == 0
 
 
+def test_licenses_need_different_grams_in_order(frame):
+    mit = "released under the mit license"
+    shuffled = "mit license the mit under the released under"
+    clean = [(1, "under the under the under the"), (2, "public license " * 10), (3, shuffled)]
+    found = licenses.scan(frame(SCHEMA, *clean)).collect()
+    assert all(r["labels"] == "" and r["score"] == 0 and r["spans"] == [] for r in found)
+    real = [(4, f"under the under the {mit} under the {mit}"), (5, "it is released under the new mit license")]
+    by_id = {r["doc_id"]: r for r in licenses.scan(frame(SCHEMA, *real)).collect()}
+    assert [tuple(s) for s in by_id[4]["spans"]] == [("mit", 4, 9, 1.0), ("mit", 11, 16, 1.0)]
+    assert [tuple(s) for s in by_id[5]["spans"]] == [("mit", 2, 8, 0.75)]
+
+
 def test_language_model(docs, empty):
     rows = language_model.score(docs).collect()
     held = {d: None if d is None else zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in TEXTS}
@@ -349,3 +399,30 @@ def test_pipeline_stages(spark, tmp_path, frame):
         if name == "near_duplicates":
             assert docs.where("doc_id >= 1000").count() == 0
     assert sizes[0] > sizes[1] > sizes[2] > sizes[3] and sizes[4] > sizes[3]
+
+
+def test_pipeline_decides_for_rows(spark, frame, monkeypatch):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    prose = " ".join(f"w{i}" for i in range(40))
+    pairs = [(None, f"good {prose}"), (None, "bad words"), (7, f"good {prose}"), (7, "bad seven"), (None, f"good {prose}")]
+    docs = frame(schema, *[(i, t, "en", "s", len(t)) for i, t in pairs])
+
+    def scored(rows, model):
+        return rows.select("doc_id", F.when(F.col("text").startswith("good"), 1.0).otherwise(0.0).alias("score"))
+
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: docs)
+    monkeypatch.setattr(corpus_pipeline.quality, "fit", lambda *_: None)
+    monkeypatch.setattr(corpus_pipeline.quality, "score", scored)
+    monkeypatch.setattr(corpus_pipeline.toxicity, "fit", lambda *_: None)
+    monkeypatch.setattr(corpus_pipeline.toxicity, "score", lambda r, m: scored(r, m).withColumn("score", 1 - F.col("score")))
+    for stage in (corpus_pipeline.good_quality, corpus_pipeline.not_toxic):
+        kept = stage(spark, docs, "").collect()
+        assert sorted(r["text"][:4] for r in kept) == ["good"] * 3
+    one = corpus_pipeline.one_of_each_group(spark, docs, "").collect()
+    assert sorted((r["doc_id"], r["text"][:4]) for r in one if r["doc_id"]) == [(7, "bad "), (7, "good")]
+    assert [r["text"] for r in one if r["doc_id"] is None] == ["bad words"]
+    # 3 of 4 words twice, the rest once: each row as often as it was taken itself.
+    mixed = corpus_pipeline.mixed(spark, frame(schema, *[(None, "w " * 10, "en", "s", 20)] * 4), "").count()
+    assert mixed == 6
