@@ -56,6 +56,19 @@ def shared_folder(spark: SparkSession) -> str:
     return os.path.abspath(local)
 
 
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written once under a new name in the shared folder, read from there, and the folder it lies in."""
+    path = f"{shared_folder(df.sparkSession)}/lakemart-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of ``written`` that nothing reads any more, on whatever store it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Writes a DataFrame once as a table in the shared folder and reads it from there.
 
@@ -63,6 +76,4 @@ def materialize(df: DataFrame) -> DataFrame:
     they come from.  The files outlive executors, so losing one repeats nothing, and
     the next plan sees their real size.
     """
-    path = f"{shared_folder(df.sparkSession)}/lakemart-tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df)[0]
