@@ -9,9 +9,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.session import materialize
+from lakemart.session import materialize, remove, written
 
-__all__ = ["WordHashes", "fold", "materialize", "remainder", "table", "text_or_empty", "words_of"]
+__all__ = ["WordHashes", "fold", "materialize", "remainder", "remove", "table", "text_or_empty", "words_of", "written"]
 
 #: Words a worker remembers before it starts over; bounds a worker's memory, not the result.
 REMEMBERED_WORDS = 400_000

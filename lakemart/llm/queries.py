@@ -1,4 +1,4 @@
-"""The ten operators as named queries over the driver tables, with the SQL that checks them where SQL can."""
+"""The operators as named queries over the driver tables, with the SQL that checks them where SQL can."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm import (
     ann,
+    decontamination,
     extraction,
     language_model,
     licenses,
@@ -17,10 +18,12 @@ from lakemart.llm import (
     neardup,
     packing,
     quality,
+    ranked_search,
     toxicity,
+    vector_codes,
     winnowing,
 )
-from lakemart.llm.common import table
+from lakemart.llm.common import materialize, table
 
 #: Least scores of label 1.
 LEAST_TOXIC = 0.3
@@ -86,6 +89,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("pattern")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = materialize(ranked_search.build_index(table(spark, sf_dir, "documents")))
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("spans")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(spark, *vector_codes.compress(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,7 +116,112 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_neardup,
         op10_mixing,
+        op11_ranked_search,
+        op12_decontamination,
+        op13_vector_codes,
     )
 }
-#: The methods' own columns (scores, pieces, fingerprints) have no SQL; tests compare them with brute force.
-ORACLES: dict[str, str] = {}
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = rf"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+RANKED_SEARCH_SQL = f"""
+with words as (select doc_id, unnest({_WORDS}) as term from documents),
+tf as (select doc_id, term, count(*) as tf from words group by all),
+sizes as (select doc_id, sum(tf)::bigint as n from tf group by doc_id),
+total as (select count(*) as nn, sum(n)::bigint as ll from sizes),
+df as (select term, count(*) as df from tf group by term),
+asked as (select distinct item_id, unnest({_WORDS}) as term from benchmark),
+scored as (
+  select item_id, doc_id,
+    sum(floor(1000 * ln((2 * nn + 2) / (2 * df + 1)))::bigint
+      * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * nn) // ll)))))::bigint as score
+  from asked join tf using (term) join df using (term) join sizes using (doc_id) cross join total
+  group by item_id, doc_id
+)
+select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+from scored where score > 0
+qualify rank <= 10
+"""
+
+DECONTAMINATION_SQL = f"""
+with items as (select item_id, {_WORDS} as w from benchmark),
+windows as (
+  select distinct item_id, least(10, len(w)) as size, w[i:i + least(10, len(w)) - 1] as words
+  from items, unnest(range(1, len(w) - least(10, len(w)) + 2)) as p(i)
+  where len(w) > 0
+),
+docs as (select doc_id, coalesce({_WORDS}, []) as w from documents),
+sizes as (select distinct size from windows),
+places as (
+  select doc_id, i, size, w[i:i + size - 1] as words
+  from docs, sizes, unnest(range(1, len(w) - size + 2)) as p(i)
+),
+hits as (select doc_id, i, places.size, item_id from places join windows using (size, words)),
+hit_words as (
+  select doc_id, count(distinct i + k) as n_hit from hits, unnest(range(0, size)) as p(k) group by doc_id
+),
+hit_items as (
+  select doc_id, count(*) as n_items, string_agg(name, ',' order by name) as names
+  from (select distinct doc_id, item_id::varchar as name from hits where item_id is not null) group by doc_id
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hit_words using (doc_id) left join hit_items using (doc_id)
+"""
+
+
+def vector_codes_sql(rounds: int = 4) -> str:
+    """Plain Lloyd rounds over whole-number parts, one common table expression each."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} as (
+  select vec_id, part, mine, min(
+    (list_inner_product(mine, mine) - 2 * list_inner_product(mine, entry) + list_inner_product(entry, entry))::bigint * 256 + e) as best
+  from parts join books{i} using (part) group by vec_id, part, mine
+)""")
+        if i < rounds:
+            steps.append(f"""
+means{i} as (
+  select part, e, list(mean order by i) as entry from (
+    select part, best % 256 as e, i, floor(sum(mine[i]) / count(*)) as mean
+    from a{i}, unnest(range(1, len(mine) + 1)) as p(i) group by part, best % 256, i
+  ) group by part, e
+),
+books{i + 1} as (
+  select part, e, coalesce(means{i}.entry, books{i}.entry) as entry from books{i} left join means{i} using (part, e)
+)""")
+    return f"""
+with kept as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+parts as (
+  select vec_id, part, v[part * (len(v) // 4) + 1:(part + 1) * (len(v) // 4)] as mine
+  from kept, unnest(range(0, 4)) as p(part)
+),
+books0 as (
+  select part, row_number() over (partition by part order by vec_id) - 1 as e, mine as entry
+  from parts qualify e < 256
+),{",".join(steps)},
+digest as (
+  select sha256(string_agg(one, ',' order by part, e)) as codebooks_sha256 from (
+    select part, e, array_to_string(list_transform(entry, lambda x: x::bigint::varchar), ',') as one from books{rounds}
+  )
+),
+coded as (
+  select vec_id, string_agg(lpad(lower(to_hex(best % 256)), 2, '0'), '' order by part) as code, sum(best // 256)::bigint as error
+  from a{rounds} group by vec_id
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from coded join kept using (vec_id) cross join digest
+"""
+
+
+#: The other methods' own columns (scores, pieces, fingerprints) have no SQL; tests compare them with brute force.
+ORACLES: dict[str, str] = {
+    "op11_ranked_search": RANKED_SEARCH_SQL,
+    "op12_decontamination": DECONTAMINATION_SQL,
+    "op13_vector_codes": vector_codes_sql(),
+}
