@@ -34,7 +34,9 @@ from lakemart.llm.licenses import words_only
 BLOCK = 128
 #: A shard ends after this many documents or bytes of text, whichever comes first; a longer text ends it alone.
 SHARD_DOCS = 4096
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
+#: Index rows handed to the JVM at once.
+ROWS_AT_ONCE = 8192
 #: Documents scored together; the k-th best score is raised between waves.
 WAVE = 512
 #: Bytes of query terms sent to the workers at once; more go in further rounds over the index.
@@ -174,8 +176,9 @@ def build_index(docs: DataFrame) -> DataFrame:
         shard = TaskContext.get().partitionId() << 33
         known, parts, ids, sizes, held = Numbers(), [], [], [], 0
 
-        def close() -> pa.RecordBatch:
-            return shard_rows(shard, list(known), np.concatenate(parts), ids, np.array(sizes))
+        def close() -> Iterator[pa.RecordBatch]:
+            rows = shard_rows(shard, list(known), np.concatenate(parts), ids, np.array(sizes))
+            yield from (rows.slice(at, ROWS_AT_ONCE) for at in range(0, rows.num_rows, ROWS_AT_ONCE))
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -187,11 +190,11 @@ def build_index(docs: DataFrame) -> DataFrame:
                 sizes.append(len(words))
                 held += sum(map(len, words))
                 if len(ids) >= SHARD_DOCS or held >= SHARD_BYTES:
-                    yield close()
+                    yield from close()
                     shard += 1
                     known, parts, ids, sizes, held = Numbers(), [], [], [], 0
         if ids:
-            yield close()
+            yield from close()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(shards, INDEX_SCHEMA)
 
