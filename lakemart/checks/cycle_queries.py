@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.checks.core_queries import day, money
 from lakemart.checks.registry import query, table
@@ -446,50 +447,103 @@ def backfill_window(spark, sf):
 
 
 # --------------------------------------------------------------- streams
+# Candidates are appended to a queue folder three times and read as three batches: by event id in
+# order (resubmissions follow), or every third row (most rows are then behind the watermark).
 
+_FILES = 4
 
-def _event_stream(spark, sf) -> DataFrame:
-    schema = table(spark, sf, "events").schema
-    return _queue_rows(Q.file_source(spark, sf, schema, "events.parquet"))
+
+def _arrived(spark, sf, label: str, turn) -> tuple[str, DataFrame]:
+    """A run folder, and the stream of all candidates, which arrive in the order of ``turn`` (0, 1, 2)."""
+    root = Q.new_run_folder(spark, label)
+    rows = _queue_rows(table(spark, sf, "events")).withColumn("_turn", turn)
+    for number in range(3):
+        Q.append_candidates(rows.where(F.col("_turn") == number).drop("_turn").repartition(_FILES, "id"), f"{root}/in")
+    return root, Q.queue_source(spark, f"{root}/in", files_per_batch=_FILES)
+
+
+def _thirds(spark, sf):
+    last = table(spark, sf, "events").agg(F.max("event_id")).scalar()
+    return F.least(F.floor(F.col("id") * 3 / (last + 1)), F.lit(2))
 
 
 @query("stream_queue_validate", _QUEUE_SQL + "select id, status as validation_status, reason as rejection_reason from v")
 def stream_queue_validate(spark, sf):
-    root = Q.new_run_folder(spark, "validate")
-    Q.validate_stream(_event_stream(spark, sf), root).awaitTermination()
+    root, queue = _arrived(spark, sf, "validate", _thirds(spark, sf))
+    Q.validate_stream(queue, root).awaitTermination()
     schema = _validated(spark, sf).schema
     accepted = Q.read_part(spark, root, "accepted", schema)
     rejected = Q.read_part(spark, root, "rejected", schema)
     return accepted.unionByName(rejected).select("id", "validation_status", "rejection_reason")
 
 
+_DELTA_SQL = _QUEUE_SQL + """
+    , d as (select id, submitted_by, payload_type, case when payload_type = 'Ex-3' and k <= 95 then delta_id end as delta from v)
+"""
+_RECEIPTS_SQL = _DELTA_SQL + """
+    , f as (select submitted_by, delta, min(id) as first_id from d where delta is not null group by all)
+    select d.id as submission_id, coalesce(first_id, d.id) as candidate_id, coalesce(first_id, d.id) as ingest_seq,
+           coalesce(first_id <> d.id, false) as replayed
+    from d left join f on d.submitted_by = f.submitted_by and d.delta = f.delta
+"""
+
+
 @query(
     "stream_dedup",
-    _QUEUE_SQL + """
-    , d as (select id, submitted_by, payload_type, case when payload_type = 'Ex-3' and k <= 95 then delta_id end as delta from v)
+    _DELTA_SQL + """
     select id, submitted_by, delta as delta_id from d
     qualify delta is null or row_number() over (partition by submitted_by, delta order by id) = 1
     """,
 )
 def stream_dedup(spark, sf):
-    root = Q.new_run_folder(spark, "dedup")
-    Q.dedup_stream(_event_stream(spark, sf), root).awaitTermination()
+    root, queue = _arrived(spark, sf, "dedup", _thirds(spark, sf))
+    Q.dedup_stream(queue, root).awaitTermination()
     schema = K.with_idempotency_key(_queue_rows(table(spark, sf, "events"))).schema
     return Q.read_part(spark, root, "first", schema).select("id", "submitted_by", "delta_id")
 
 
+_RECEIPT = "submission_id long, candidate_id long, ingest_seq long, replayed boolean"
+
+
+@query("stream_receipts", _RECEIPTS_SQL)
+def stream_receipts(spark, sf):
+    root, queue = _arrived(spark, sf, "receipts", _thirds(spark, sf))
+    Q.dedup_stream(queue, root).awaitTermination()
+    return Q.read_part(spark, root, "receipts", T.StructType.fromDDL(_RECEIPT)).drop("batch_id")
+
+
+def _rates(spark, sf, label: str) -> tuple[str, DataFrame]:
+    root, queue = _arrived(spark, sf, label, F.col("id") % 3)
+    # Windows need an instant, so the wall-clock time is read as UTC.
+    timed = K.validate(queue).withColumn("submitted_at", F.to_utc_timestamp(F.col("submitted_at").cast("timestamp"), F.current_timezone()))
+    Q.rates_stream(timed, root).awaitTermination()
+    return root, timed
+
+
+# A row is late if its day ended an hour or more before the newest row of an earlier third.
+_LATE_SQL = _QUEUE_SQL + """
+    , newest as (select id % 3 as turn, max(submitted_at) as newest_at from v group by 1),
+    w as (select v.*, cast(submitted_at as date) as day,
+          coalesce(cast(cast(submitted_at as date) + 1 as timestamp) <= (select max(newest_at) from newest where turn < id % 3) - interval 1 hour, false) as late from v)
+"""
+
+
 @query(
     "stream_windowed_counts",
-    _QUEUE_SQL + """
-    select cast(cast(submitted_at as date) as varchar) as window_day, submitted_by, count(*) filter (where status = 'accepted') as accepted, count(*) as total
-    from v group by all
+    _LATE_SQL + """
+    select cast(day as varchar) as window_day, submitted_by, count(*) filter (where status = 'accepted') as accepted, count(*) as total,
+           count(*) filter (where late) as late_rows
+    from w group by all
     """,
 )
 def stream_windowed_counts(spark, sf):
-    root = Q.new_run_folder(spark, "rates")
-    # Event-time watermarks need an instant, so the wall-clock time is read as UTC.
-    timed = K.validate(_event_stream(spark, sf)).withColumn("submitted_at", F.to_utc_timestamp(F.col("submitted_at").cast("timestamp"), F.current_timezone()))
-    rates = Q.acceptance_rates(timed)
-    Q.rates_stream(rates, root).awaitTermination()
-    latest = Q.latest_rates(spark, root, rates.schema)
-    return latest.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_day"), "submitted_by", "accepted", "total")
+    root, _ = _rates(spark, sf, "rates")
+    latest = Q.latest_rates(spark, root)
+    return latest.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_day"), "submitted_by", "accepted", "total", "late_rows")
+
+
+@query("stream_late_rows", _LATE_SQL + "select id, submitted_by, cast(day as varchar) as window_day from w where late")
+def stream_late_rows(spark, sf):
+    root, timed = _rates(spark, sf, "late")
+    late = Q.late_rows(spark, root, timed.schema)
+    return late.select("id", "submitted_by", F.date_format(F.col("window_end") - F.expr("interval 1 second"), "yyyy-MM-dd").alias("window_day"))

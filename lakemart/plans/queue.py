@@ -21,8 +21,8 @@ QUEUE_SCHEMA = T.StructType(
     ]
 )
 
-# Payload types, keys a producer may not send, envelope keys, the longest
-# stored reason, and the wording of each rejection.
+# Payload types, keys a producer may not send, envelope keys, and the wording
+# of each rejection.
 PAYLOAD_TYPES = ("Ex-0", "Ex-1", "Ex-2", "Ex-3")
 DELTA_TYPE = "Ex-3"
 FORBIDDEN_KEYS = (
@@ -40,7 +40,6 @@ FORBIDDEN_KEYS = (
     "submitted_at",
 )
 ENVELOPE_KEYS = ("payload_type", "submitted_by")
-REASON_CHARS = 1000
 NOT_AN_OBJECT = "candidate payload must be a JSON object mapping"
 FORBIDDEN_PRESENT = "producer payload must not include PostgreSQL ingest metadata fields: "
 BAD_TYPE = "payload_type must be one of ['Ex-0', 'Ex-1', 'Ex-2', 'Ex-3']"
@@ -71,7 +70,7 @@ def validate(queue: DataFrame) -> DataFrame:
     """Sets validation_status, rejection_reason and rejection_type from the payload envelope.
 
     The first failing rule gives the reason: JSON object, forbidden keys, payload type,
-    submitter, then agreement of both with the queue row.
+    submitter, then agreement of both with the queue row.  The reason is kept whole.
     """
     checked = _parsed_once(
         queue,
@@ -91,7 +90,7 @@ def validate(queue: DataFrame) -> DataFrame:
         .when(F.col("_type") != F.col("payload_type"), F.concat(F.lit(TYPE_DIFFERS), "_type", F.lit(" != "), "payload_type"))
         .when(F.col("_by") != F.col("submitted_by"), F.concat(F.lit(SUBMITTER_DIFFERS), "_by", F.lit(" != "), "submitted_by"))
     )
-    return checked.withColumn("rejection_reason", F.substring(reason, 1, REASON_CHARS)).select(
+    return checked.withColumn("rejection_reason", reason).select(
         *[c for c in queue.columns if c not in ("validation_status", "rejection_reason")],
         F.when(F.col("rejection_reason").isNull(), "accepted").otherwise("rejected").alias("validation_status"),
         "rejection_reason",

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Keyed stream state lies on disk and in the checkpoint folder, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # The JVM does not compile generated methods over this size; marts are wide enough
     # to exceed it, and split projections are compiled where one huge method is not.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -7,21 +7,16 @@ failure replaces itself; readers take the union of the folders.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from lakemart.operators.ordering import latest_per_key, newest_first
-from lakemart.plans.queue import (
-    IDEMPOTENCY_KEY,
-    QUEUE_SCHEMA,
-    first_submissions,
-    validate,
-    validation_counts,
-    with_idempotency_key,
-)
+from lakemart.plans.queue import IDEMPOTENCY_KEY, QUEUE_SCHEMA, validate, validation_counts, with_idempotency_key
 from lakemart.session import shared_folder
 
 
@@ -29,9 +24,14 @@ def new_run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/lakemart-streams/{label}-{uuid.uuid4().hex}"
 
 
-def queue_source(spark: SparkSession, folder: str, schema: T.StructType = QUEUE_SCHEMA) -> DataFrame:
-    """Candidates arriving as JSON lines in a folder."""
-    return spark.readStream.schema(schema).json(folder)
+def queue_source(
+    spark: SparkSession, folder: str, schema: T.StructType = QUEUE_SCHEMA, files_per_batch: int | None = None
+) -> DataFrame:
+    """Candidates arriving as JSON lines in a folder, oldest files first, so many files a batch."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(folder)
 
 
 def file_source(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet") -> DataFrame:
@@ -43,6 +43,17 @@ def append_candidates(candidates: DataFrame, folder: str) -> None:
     candidates.write.mode("append").json(folder)
 
 
+def _started(stream: DataFrame, root: str, write, mode: str = "append") -> StreamingQuery:
+    """Runs ``write`` on every batch of what has arrived by now."""
+    return (
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def _batch_folder(root: str, part: str, batch_id: int) -> str:
     return f"{root}/{part}/batch_id={batch_id}"
 
@@ -66,81 +77,186 @@ def validate_stream(candidates: DataFrame, root: str) -> StreamingQuery:
         finally:
             checked.unpersist()
 
-    return (
-        candidates.writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _started(candidates, root, write)
+
+
+# --------------------------------------------------------------- idempotent submission
+# The state store holds one small row per delta key, the submission that came first, dealt
+# to its partitions by key.  A batch looks up its own keys there and reads no earlier output.
+# Keys are never forgotten, so the store grows with the distinct deltas; with the session's
+# RocksDB provider it lies on disk, and its changes in the checkpoint folder.
+
+#: A submission and the one it is answered with.  ``known``: the state store knew the key.
+RECEIPT_SCHEMA = T.StructType(
+    [
+        *QUEUE_SCHEMA.fields,
+        T.StructField("delta_id", T.StringType()),
+        T.StructField("first_id", T.LongType()),
+        T.StructField("first_seq", T.LongType()),
+        T.StructField("known", T.BooleanType()),
+    ]
+)
+#: Submissions of one key side by side: the columns of the first, ids and sequences of all.
+_TOGETHER = T.StructType(
+    [
+        *QUEUE_SCHEMA.fields,
+        T.StructField("delta_id", T.StringType()),
+        T.StructField("ids", T.ArrayType(T.LongType())),
+        T.StructField("seqs", T.ArrayType(T.LongType())),
+    ]
+)
+_KEY = list(IDEMPOTENCY_KEY)
+
+
+def _together(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per key and Arrow batch, so that a key with very many submissions is combined before it is shuffled."""
+    for batch in batches:
+        ordered = batch.sort_values(["ingest_seq", "id"], na_position="last", kind="stable")
+        grouped = ordered.groupby(_KEY, sort=False, dropna=False)
+        lists = grouped.agg(ids=("id", list), seqs=("ingest_seq", list))
+        firsts = ordered.drop_duplicates(_KEY)
+        yield firsts.join(lists, on=_KEY)[_TOGETHER.fieldNames()]
+
+
+def _order(row) -> tuple:
+    """Lowest ingest sequence first, NULL last, then lowest id."""
+    return pd.isna(row["ingest_seq"]), row["ingest_seq"], pd.isna(row["id"]), row["id"]
+
+
+def _whole(value) -> int | None:
+    return None if pd.isna(value) else int(value)
+
+
+def _answer(key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The submissions of a key in one batch, answered with the first the state store knows."""
+    rows = [row for piece in pieces for row in piece.to_dict("records")]
+    known, first = state.exists, min(rows, key=_order)
+    if not known:
+        state.update((_whole(first["id"]), _whole(first["ingest_seq"])))
+    first_id, first_seq = state.get
+    out = pd.DataFrame({"id": pd.array([_whole(i) for row in rows for i in row["ids"]], "Int64")})
+    out["ingest_seq"] = pd.array([_whole(s) for row in rows for s in row["seqs"]], "Int64")
+    for name in RECEIPT_SCHEMA.fieldNames():
+        if name not in out.columns:
+            out[name] = None
+    out[_KEY] = key
+    out["first_id"], out["first_seq"], out["known"] = first_id, first_seq, known
+    if not known:
+        # Only the row that is stored keeps its payload.
+        stored = (out["id"].isna() if first_id is None else out["id"].eq(first_id).fillna(False)).to_numpy().argmax()
+        for name in ("payload", "submitted_at", "validation_status", "rejection_reason"):
+            out[name] = out[name].astype(object)
+            out.at[stored, name] = None if pd.isna(first[name]) else first[name]
+    yield out[RECEIPT_SCHEMA.fieldNames()]
 
 
 def dedup_stream(candidates: DataFrame, root: str) -> StreamingQuery:
-    """Keeps the first submission of each delta, across batches and restarts.
+    """Answers every submission with the first one of its delta, across batches and restarts.
 
-    Within a batch the lowest ingest sequence wins; against earlier batches the delta
-    keys already written decide.  Earlier folders are read by key columns only, and a
-    replayed batch ignores its own earlier output.
+    Writes ``first`` (rows without a delta id, and the first row of each delta) and
+    ``receipts`` (submission_id, candidate_id, ingest_seq, replayed) per batch.  Within a
+    batch the lowest ingest sequence comes first, NULL last; an earlier batch comes before a
+    later one.  A replayed batch finds the store as it was before that batch.
     """
+    keyed = with_idempotency_key(candidates).select(*QUEUE_SCHEMA.fieldNames(), "delta_id")
+    answered = (
+        keyed.where(F.col("delta_id").isNotNull())
+        .mapInPandas(_together, _TOGETHER)
+        .groupBy(*_KEY)
+        .applyInPandasWithState(_answer, RECEIPT_SCHEMA, "first_id long, first_seq long", "append", GroupStateTimeout.NoTimeout)
+    )
+    # Rows without a delta id are firsts of their own and need no state.
+    alone = keyed.where(F.col("delta_id").isNull()).select(
+        "*", F.col("id").alias("first_id"), F.col("ingest_seq").alias("first_seq"), F.lit(False).alias("known")
+    )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        firsts = first_submissions(with_idempotency_key(batch))
-        if batch_id > 0:
-            seen = (
-                read_part(spark, root, "first", firsts.schema)
-                .where((F.col("batch_id") < batch_id) & F.col("delta_id").isNotNull())
-                .select(*[F.col(k).alias(f"_s_{k}") for k in IDEMPOTENCY_KEY])
-            )
-            firsts = firsts.join(seen, [firsts[k] == seen[f"_s_{k}"] for k in IDEMPOTENCY_KEY], "left_anti")
-        firsts.write.mode("overwrite").parquet(_batch_folder(root, "first", batch_id))
+        receipts = batch.persist()
+        try:
+            is_first = ~F.col("known") & F.col("id").eqNullSafe(F.col("first_id"))
+            receipts.select(
+                F.col("id").alias("submission_id"),
+                F.col("first_id").alias("candidate_id"),
+                F.col("first_seq").alias("ingest_seq"),
+                (~is_first).alias("replayed"),
+            ).write.mode("overwrite").parquet(_batch_folder(root, "receipts", batch_id))
+            firsts = receipts.where(is_first).select(*QUEUE_SCHEMA.fieldNames(), "delta_id")
+            firsts.write.mode("overwrite").parquet(_batch_folder(root, "first", batch_id))
+        finally:
+            receipts.unpersist()
 
-    return (
-        candidates.writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _started(answered.unionByName(alone), root, write)
 
 
-def recent_duplicates_removed(candidates: DataFrame, delay: str, keys: list[str], event_time: str = "submitted_at") -> DataFrame:
-    """Bounded-state alternative: drops repeats of a key that arrive within ``delay``."""
-    return candidates.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+# --------------------------------------------------------------- windowed rates
+# A batch adds its counts per window to a log; a window's value is the sum of its rows,
+# so rows that come after their window was closed correct it instead of vanishing.
 
+CLOCK_SCHEMA = T.StructType([T.StructField("newest", T.TimestampType())])
+RATES_SCHEMA = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("submitted_by", T.StringType()),
+        T.StructField("accepted", T.LongType()),
+        T.StructField("total", T.LongType()),
+        T.StructField("closed", T.BooleanType()),
+    ]
+)
 
-def acceptance_rates(
-    validated: DataFrame, delay: str = "1 hour", width: str = "1 day", event_time: str = "submitted_at"
-) -> DataFrame:
-    """Accepted and total candidates per submitter and tumbling window."""
-    accepted = F.count_if(F.col("validation_status") == "accepted")
-    return (
-        validated.withWatermark(event_time, delay)
-        .groupBy(F.window(event_time, width), "submitted_by")
-        .agg(accepted.alias("accepted"), F.count("*").alias("total"))
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "submitted_by",
-            "accepted",
-            "total",
-        )
-    )
 
+def rates_stream(
+    validated: DataFrame, root: str, delay: str = "1 hour", width: str = "1 day", event_time: str = "submitted_at"
+) -> StreamingQuery:
+    """Accepted and total candidates per submitter and tumbling window, exact whatever order rows arrive in.
 
-def rates_stream(rates: DataFrame, root: str) -> StreamingQuery:
-    """Writes the windows each batch changed; ``latest_rates`` reads their newest values."""
+    A window is closed once event time (the newest of all earlier batches) has passed its end by
+    ``delay``.  ``rates`` holds each batch's additions, marked ``closed`` where their window was; the
+    rows behind such additions are written to ``late`` with the time their window ended and the
+    watermark they missed.  ``clock`` holds the newest event time, one row per batch, of which
+    a batch reads its predecessor's.  Rows without event time have no window and are written to ``late`` too.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_batch_folder(root, "rates", batch_id))
+        spark = batch.sparkSession
+        # F.window would drop rows without a time.
+        timed = batch.withColumn("_window", F.window(F.coalesce(event_time, F.lit(0).cast("timestamp")), width))
+        rows = timed.withColumn("_window", F.when(F.col(event_time).isNotNull(), F.col("_window"))).persist()
+        try:
+            before = None
+            if batch_id > 0:
+                before = spark.read.schema(CLOCK_SCHEMA).parquet(_batch_folder(root, "clock", batch_id - 1)).first()["newest"]
+            mark = F.lit(before).cast("timestamp") - F.expr(f"interval {delay}")
+            closed = F.coalesce(F.col("_window.end") <= mark, F.lit(False))
+            rows.where(F.col("_window").isNotNull()).groupBy("_window", "submitted_by").agg(
+                F.count_if(F.col("validation_status") == "accepted").alias("accepted"), F.count("*").alias("total")
+            ).select(
+                F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"), "submitted_by",
+                "accepted", "total", closed.alias("closed"),
+            ).write.mode("overwrite").parquet(_batch_folder(root, "rates", batch_id))
+            late = rows.where(closed | F.col("_window").isNull())
+            late.select(*batch.columns, F.col("_window.end").alias("window_end"), mark.alias("watermark")).write.mode("overwrite").parquet(
+                _batch_folder(root, "late", batch_id)
+            )
+            newest = rows.agg(F.greatest(F.max(event_time), F.lit(before).cast("timestamp")).alias("newest"))
+            newest.coalesce(1).write.mode("overwrite").parquet(_batch_folder(root, "clock", batch_id))
+        finally:
+            rows.unpersist()
 
-    return (
-        rates.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
+    return _started(validated, root, write)
+
+
+def latest_rates(spark: SparkSession, root: str) -> DataFrame:
+    """Every window's counts, late rows included, and how many of its rows came after it was closed."""
+    log = read_part(spark, root, "rates", RATES_SCHEMA)
+    return log.groupBy("window_start", "window_end", "submitted_by").agg(
+        F.sum("accepted").alias("accepted"),
+        F.sum("total").alias("total"),
+        F.sum(F.when(F.col("closed"), F.col("total")).otherwise(0)).alias("late_rows"),
     )
 
 
-def latest_rates(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    changes = read_part(spark, root, "rates", schema)
-    return latest_per_key(changes, ["window_start", "submitted_by"], newest_first("batch_id")).drop("batch_id")
+def late_rows(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """Rows that missed their window, with its end and the watermark they met."""
+    added = [T.StructField("window_end", T.TimestampType()), T.StructField("watermark", T.TimestampType())]
+    return read_part(spark, root, "late", T.StructType([*schema.fields, *added]))
