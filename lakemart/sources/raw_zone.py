@@ -2,10 +2,10 @@
 
 Artifacts are folders ``<root>/<source>/<dataset>/dt=YYYYMMDD/run_id=<run>`` so that
 day and run are partition columns: a scan opens only the runs it is told to.  The
-manifest is a dataset of its own, ``<root>/manifest``, one row per landed artifact; an
-artifact counts only once its manifest row is written.  Single-file artifacts
-(``<run>.parquet``) and JSON manifests of older zones are read by the functions at the
-end of the module.
+manifest is a dataset of its own, ``<root>/manifest``, partitioned by source and dataset,
+one row per landed artifact; an artifact counts only once its manifest row is written.
+Single-file artifacts (``<run>.parquet``) and JSON manifests of older zones are read by
+the functions at the end of the module; ``raw_health`` checks both kinds of zone.
 """
 
 from __future__ import annotations
@@ -13,17 +13,17 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime, timezone
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.operators import quality as Q
-from lakemart.operators.shaping import align
+from lakemart.operators.shaping import align, union_by_name
 from lakemart.plans import schemas
 from lakemart.plans.staging import latest_artifacts
 
@@ -42,15 +42,14 @@ ARTIFACT_SCHEMA = T.StructType(
     ]
 )
 
-# Winning artifacts are handed to the reader as a path list up to this many; beyond it
-# the selection stays a join.
-MAX_LISTED_PATHS = 4_096
+# Artifact formats and the data files each is made of.
+FILES_OF = {"parquet": "*.parquet", "json": "*.json.gz"}
 
 _SEGMENT = re.compile(r"^[A-Za-z0-9][A-Za-z0-9_.\-]*$")
 
 
-class RawArtifactExists(RuntimeError):
-    """The run id has already landed in this partition."""
+class RunAlreadyLanded(RuntimeError):
+    """The manifest holds this run for this day; a run lands once."""
 
 
 def _segment(value: str, what: str) -> str:
@@ -84,7 +83,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 def artifacts(spark: SparkSession, root: str) -> DataFrame:
     """Every landed artifact; empty before the first one."""
-    return read_or_empty(spark, manifest_path(root), ARTIFACT_SCHEMA)
+    return read_or_empty(spark, manifest_path(root), ARTIFACT_SCHEMA).select(*ARTIFACT_SCHEMA.fieldNames())
 
 
 def list_artifacts(
@@ -113,7 +112,7 @@ def _land(
     path = artifact_path(root, source_id, dataset, partition_date, run_id)
     landed = list_artifacts(spark, root, source_id, dataset, partition_date).where(F.col("run_id") == run_id)
     if not landed.isEmpty():
-        raise RawArtifactExists(f"raw artifact already exists for run_id={run_id!r}")
+        raise RunAlreadyLanded(f"{source_id}/{dataset}: run {run_id} of {partition_date} is in the manifest")
     counted = Observation()
     writer = df.observe(counted, F.count("*").alias("rows")).write.mode("overwrite")
     if file_format == "json":
@@ -132,7 +131,14 @@ def _land(
         _schema_hash(df),
         {k: str(v) for k, v in {**(metadata or {}), "format": file_format}.items()},
     )
-    spark.createDataFrame([row], ARTIFACT_SCHEMA).coalesce(1).write.mode("append").parquet(manifest_path(root))
+    _enter(spark.createDataFrame([row], ARTIFACT_SCHEMA), root)
+
+
+def _enter(rows: DataFrame, root: str) -> None:
+    """Appends manifest rows, one file a dataset; from here on their artifacts count."""
+    rows.select(*ARTIFACT_SCHEMA.fieldNames()).coalesce(1).write.mode("append").partitionBy("source_id", "dataset").parquet(
+        manifest_path(root)
+    )
 
 
 def _schema_hash(df: DataFrame) -> str:
@@ -186,15 +192,81 @@ def new_artifacts(incoming: DataFrame, landed: DataFrame) -> DataFrame:
 def land_many(
     df: DataFrame, root: str, source_id: str, dataset: str, date_column: str, run_id: str,
     written_at: datetime | None = None,
-) -> None:
-    """Land one artifact per day of ``date_column`` (YYYYMMDD text) in a single job.
+    request_params: Mapping[str, Any] | None = None,
+    metadata: Mapping[str, Any] | None = None,
+) -> DataFrame:
+    """Land one artifact per day of ``date_column`` (YYYYMMDD text) in a single job; returns what was set aside.
 
-    Rows are aligned to the dataset's declared schema.  Days that already hold the run
-    id are left out before anything is written.
+    Rows are aligned to the dataset's declared schema.  A row whose day is no calendar date has
+    no partition: it goes to the quarantine of the run, before any artifact is written, and the rest
+    lands.  Days that already hold the run id are left out.  All artifacts of a call share
+    one request scope.  The result has (fault, detail, row_count); see ``quarantined`` for the rows.
     """
+    return _land_days(_with_faults(df, date_column), df, root, source_id, dataset, date_column, run_id, written_at, request_params, metadata)
+
+
+def land_csv(
+    spark: SparkSession, csv_path: str, root: str, source_id: str, dataset: str, date_column: str, run_id: str,
+    written_at: datetime | None = None,
+    request_params: Mapping[str, Any] | None = None,
+) -> DataFrame:
+    """Land a headed CSV corpus as raw partitions, one per day; returns what was set aside.
+
+    All values are read as text.  Lines that do not have the header's fields go to the quarantine as
+    they stand, so do rows without a calendar date; columns the dataset does not declare are
+    counted in the result and do not land.
+    """
+    header = spark.read.option("header", True).csv(csv_path).columns
+    declared = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _LINE]])
+    # A line's number of fields is only seen where all columns are parsed.
+    reader = spark.read.schema(declared).option("header", True).option("columnPruning", False)
+    text = reader.option("columnNameOfCorruptRecord", _LINE).csv(csv_path)
+    checked = _with_faults(text, date_column, [("malformed_line", F.col(_LINE).isNotNull(), F.col(_LINE))])
+    return _land_days(checked, text.drop(_LINE), root, source_id, dataset, date_column, run_id, written_at, request_params, None)
+
+
+#: A CSV line as it stands where it does not fit the header.
+_LINE = "_line"
+QUARANTINE_SCHEMA = T.StructType(
+    [
+        T.StructField("fault", T.StringType()),
+        T.StructField("detail", T.StringType()),
+        T.StructField("record", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+    ]
+)
+
+
+def _with_faults(df: DataFrame, date_column: str, more: Sequence[tuple[str, Column, Column]] = ()) -> DataFrame:
+    """Adds ``_fault`` and ``_detail``: the first thing that keeps a row from landing."""
+    day = F.trim(F.col(date_column).cast("string"))
+    rules = [*more, ("no_calendar_date", ~Q.is_trade_date(F.coalesce(day, F.lit(""))), F.coalesce(day, F.lit("NULL")))]
+    fault, detail = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, wrong, what in reversed(rules):
+        fault, detail = F.when(wrong, name).otherwise(fault), F.when(wrong, what).otherwise(detail)
+    return df.withColumns({"_fault": fault, "_detail": detail})
+
+
+def quarantine_path(root: str, source_id: str, dataset: str) -> str:
+    return f"{root}/quarantine/{_segment(source_id, 'source_id')}/{_segment(dataset, 'dataset')}"
+
+
+def quarantined(spark: SparkSession, root: str, source_id: str, dataset: str) -> DataFrame:
+    """Rows no run could land: the fault, the value it was seen in, and the whole record as JSON."""
+    return read_or_empty(spark, quarantine_path(root, source_id, dataset), QUARANTINE_SCHEMA)
+
+
+def _land_days(checked, df, root, source_id, dataset, date_column, run_id, written_at, request_params, metadata) -> DataFrame:
     spark = df.sparkSession
+    _segment(run_id, "run_id")
     base = dataset_path(root, source_id, dataset)
-    declared = align(df, schemas.raw_schema(dataset)).select("*", F.trim(date_column).alias("dt"), F.lit(run_id).alias("run_id"))
+    folder = f"{quarantine_path(root, source_id, dataset)}/run_id={run_id}"
+    record = F.to_json(F.struct(*[c for c in checked.columns if not c.startswith("_")]))
+    aside = checked.where(F.col("_fault").isNotNull())
+    aside.select(F.col("_fault").alias("fault"), F.col("_detail").alias("detail"), record.alias("record")).write.mode("overwrite").parquet(folder)
+    good = checked.where(F.col("_fault").isNull()).select(*[F.col(f"`{c}`") for c in df.columns])
+    dated = good.withColumns({"dt": F.trim(F.col(f"`{date_column}`").cast("string")), "run_id": F.lit(run_id)})
+    declared = align(dated, _with_partition(schemas.raw_schema(dataset)))
     done = list_artifacts(spark, root, source_id, dataset).where(F.col("run_id") == run_id)
     done = done.select(F.date_format("partition_date", "yyyyMMdd").alias("_dt"))
     fresh = declared.join(done, declared["dt"] == done["_dt"], "left_anti")
@@ -205,6 +277,7 @@ def land_many(
     options = {"partitionOverwriteMode": "dynamic"}
     fresh.repartition("dt", salt).write.mode("overwrite").options(**options).partitionBy("dt", "run_id").parquet(base)
     stamp = written_at or datetime.now(timezone.utc).replace(tzinfo=None)
+    described = {k: str(v) for k, v in {**(metadata or {}), "format": "parquet"}.items()}
     written = read_raw(spark, root, source_id, dataset).where(F.col("run_id") == run_id)
     counts = written.groupBy("dt").agg(F.count("*").alias("row_count")).join(done, F.col("dt") == F.col("_dt"), "left_anti")
     rows = counts.select(
@@ -215,20 +288,24 @@ def land_many(
         F.concat(F.lit(f"{base}/dt="), "dt", F.lit(f"/run_id={run_id}")).alias("path"),
         "row_count",
         F.lit(stamp).cast("timestamp_ntz").alias("written_at"),
-        F.lit("").alias("request_params_hash"),
+        F.lit(params_hash(request_params)).alias("request_params_hash"),
         F.lit(_schema_hash(df)).alias("schema_hash"),
-        F.lit(None).cast("map<string,string>").alias("metadata"),
+        F.create_map(*[F.lit(x) for pair in described.items() for x in pair]).alias("metadata"),
     )
-    rows.write.mode("append").parquet(manifest_path(root))
+    _enter(rows, root)
+    return _set_aside(spark, folder, df, dataset)
 
 
-def land_csv(
-    spark: SparkSession, csv_path: str, root: str, source_id: str, dataset: str, date_column: str, run_id: str,
-    written_at: datetime | None = None,
-) -> None:
-    """Land a headed CSV corpus as raw partitions, one per day."""
-    text = spark.read.option("header", True).option("inferSchema", False).csv(csv_path)
-    land_many(text, root, source_id, dataset, date_column, run_id, written_at)
+def _set_aside(spark: SparkSession, folder: str, df: DataFrame, dataset: str) -> DataFrame:
+    """(fault, detail, row_count): quarantined rows by fault, and undeclared columns with their number of values."""
+    rows = spark.read.schema(QUARANTINE_SCHEMA).parquet(folder)
+    faults = rows.groupBy("fault").agg(F.count("*").alias("row_count")).select("fault", F.lit(None).cast("string").alias("detail"), "row_count")
+    extra = [c for c in df.columns if c not in schemas.RAW_COLUMNS[dataset]]
+    if not extra:
+        return faults
+    counted = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in extra])
+    columns = counted.unpivot([], [F.col(f"`{c}`") for c in extra], "detail", "row_count")
+    return faults.unionByName(columns.select(F.lit("undeclared_column").alias("fault"), "detail", "row_count"))
 
 
 # --------------------------------------------------------------- reading
@@ -238,56 +315,83 @@ def _with_partition(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("dt", T.StringType()), T.StructField("run_id", T.StringType())])
 
 
-def read_raw(spark: SparkSession, root: str, source_id: str, dataset: str, schema: T.StructType | None = None) -> DataFrame:
-    """All artifacts of a dataset under its declared schema; absent columns are NULL."""
-    declared = _with_partition(schema or schemas.raw_schema(dataset))
-    return spark.read.schema(declared).parquet(dataset_path(root, source_id, dataset))
+def read_raw(
+    spark: SparkSession, root: str, source_id: str, dataset: str, schema: T.StructType | None = None, file_format: str = "parquet"
+) -> DataFrame:
+    """All artifacts of a dataset and format under its declared schema; absent columns are NULL.
+
+    A JSON value that does not fit its declared type ends the read with an error.
+    """
+    reader = spark.read.schema(_with_partition(schema or schemas.raw_schema(dataset))).option("pathGlobFilter", FILES_OF[file_format])
+    if file_format == "json":
+        reader = reader.option("mode", "FAILFAST")
+    return reader.format(file_format).load(dataset_path(root, source_id, dataset))
+
+
+def data_folders(spark: SparkSession, path: str) -> DataFrame:
+    """(path) of every artifact folder below ``path`` that holds a data file, by listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    named = files.select(plain_path(F.col("path")).alias("file")).where(F.col("file").rlike(r"[.](parquet|json[.]gz)$"))
+    folder = F.regexp_extract("file", r"^(.*/dt=[^/]+/run_id=[^/]+)/[^/]+$", 1)
+    return named.select(folder.alias("path")).where(F.col("path") != "").distinct()
+
+
+def plain_path(path: Column) -> Column:
+    """A path without the local scheme, which readers add and manifests may lack."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def _format(metadata: str = "metadata") -> Column:
+    return F.coalesce(F.col(metadata)["format"], F.lit("parquet"))
 
 
 def read_latest(spark: SparkSession, root: str, source_id: str, dataset: str, schema: T.StructType | None = None) -> DataFrame:
-    """Rows of the winning artifacts with ``source_run_id`` and ``raw_loaded_at``.
+    """Rows of the winning artifacts, Parquet and JSON alike, with ``source_run_id`` and ``raw_loaded_at``.
 
-    A bounded number of winners is resolved to paths, so losing files are never listed
-    or opened; more than that stays a join on the partition columns, which prunes
-    partitions at run time.
+    Winners meet the data by a join on the partition columns, at any number of artifacts: at
+    run time the scan opens the partitions of the winners only (dynamic partition pruning), and no
+    list of paths passes through the driver.  A winner without a data file ends the query with an
+    error: the join key of its row is an error expression, which is evaluated before anything is joined.
     """
     partitioned, request_scoped = schemas.selection_mode(dataset)
+    declared = _with_partition(schema or schemas.raw_schema(dataset))
     landed = artifacts(spark, root).where((F.col("source_id") == source_id) & (F.col("dataset") == dataset))
-    winners = latest_artifacts(landed, partitioned, request_scoped).select(
+    # One row a format: two at most.
+    formats = sorted(r["format"] for r in landed.select(_format().alias("format")).distinct().collect())
+    names = {"run_id": "source_run_id"}
+    if not formats:
+        return spark.createDataFrame([], declared).withColumn("raw_loaded_at", F.lit(None).cast("timestamp_ntz")).withColumnsRenamed(names).drop("dt")
+    have = data_folders(spark, dataset_path(root, source_id, dataset)).withColumnRenamed("path", "_have")
+    winners = latest_artifacts(landed, partitioned, request_scoped).withColumn("_path", plain_path(F.col("path")))
+    missing = F.raise_error(F.concat(F.lit("the manifest names an artifact without data files: "), F.col("path"))).cast("string")
+    winners = winners.join(have, winners["_path"] == have["_have"], "left").select(
         F.date_format("partition_date", "yyyyMMdd").alias("_dt"),
-        F.col("run_id").alias("_run"),
+        F.when(F.col("_have").isNull(), missing).otherwise(F.col("run_id")).alias("_run"),
         F.col("written_at").alias("raw_loaded_at"),
+        _format().alias("_format"),
     )
-    listed = winners.limit(MAX_LISTED_PATHS + 1).collect()
-    base = dataset_path(root, source_id, dataset)
-    declared = _with_partition(schema or schemas.raw_schema(dataset))
-    reader = spark.read.schema(declared).option("basePath", base)
-    if not listed:
-        rows = spark.createDataFrame([], declared)
-    elif len(listed) <= MAX_LISTED_PATHS:
-        rows = reader.parquet(*[f"{base}/dt={w['_dt']}/run_id={w['_run']}" for w in listed])
-    else:
-        rows = reader.parquet(base)
-    return (
-        rows.join(winners, (rows["dt"] == winners["_dt"]) & (rows["run_id"] == winners["_run"]), "inner")
-        .withColumnRenamed("run_id", "source_run_id")
-        .drop("_dt", "_run", "dt")
-    )
+    found = []
+    for kind in formats:
+        rows = read_raw(spark, root, source_id, dataset, schema, kind)
+        mine = winners.where(F.col("_format") == kind)
+        found.append(rows.join(mine, (rows["dt"] == mine["_dt"]) & (rows["run_id"] == mine["_run"]), "inner"))
+    return union_by_name(found).withColumnsRenamed(names).drop("_dt", "_run", "_format", "dt")
 
 
 # --------------------------------------------------------------- older zones
 
 
-def read_json_manifests(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_json_manifests(spark: SparkSession, paths: Sequence[str], names: str | None = None) -> DataFrame:
     """JSON manifests with their nested artifact list, one row per manifest.
 
-    The reader hides names starting with ``_`` or ``.``; copy such manifests to a
-    visible name first.
+    ``names`` is a pattern for the manifests among the files below ``paths``.  The reader hides names starting with
+    ``_`` or ``.``; copy such manifests to a visible name first.
     """
-    hidden = [p for p in paths if p.rsplit("/", 1)[-1].startswith(("_", "."))]
+    hidden = [p for p in [*paths, names or ""] if p.rsplit("/", 1)[-1].startswith(("_", "."))]
     if hidden:
         raise ValueError(f"hidden manifest names cannot be read: {hidden[:3]}")
-    return spark.read.schema(schemas.MANIFEST_SCHEMA).option("multiLine", True).json(paths)
+    reader = spark.read.schema(schemas.MANIFEST_SCHEMA).option("multiLine", True).option("recursiveFileLookup", True)
+    return (reader.option("pathGlobFilter", names) if names else reader).json(list(paths))
 
 
 def explode_manifests(manifests: DataFrame) -> DataFrame:
@@ -310,130 +414,19 @@ def artifact_rows(entries: DataFrame) -> DataFrame:
         "run_id",
         "path",
         "row_count",
-        F.col("written_at").cast("timestamp").cast("timestamp_ntz").alias("written_at"),
+        utc_wall(F.col("written_at").cast("string")).alias("written_at"),
         "request_params_hash",
     )
 
 
+def utc_wall(text: Column) -> Column:
+    """UTC wall-clock time of an ISO time text, whatever the session's zone; a text without offset is UTC."""
+    shifted = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(text.rlike(r"(Z|[+-]\d\d:?\d\d)$"), shifted).otherwise(text.try_cast("timestamp_ntz"))
+
+
 def read_single_files(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """Artifacts stored as ``dt=YYYYMMDD/<run>.parquet``; the run id is the file name."""
     declared = T.StructType([*schema.fields, T.StructField("dt", T.StringType())])
     rows = spark.read.schema(declared).option("pathGlobFilter", "*.parquet").parquet(folder)
-    return rows.select("*", F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+)[.]parquet$", 1).alias("run_id"))
-
-
-# --------------------------------------------------------------- health
-
-
-def landed_folders(spark: SparkSession, root: str) -> DataFrame:
-    """(path) of every artifact folder that holds a data file, by listing only."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select(F.regexp_replace("path", "^file:/+", "/").alias("file"))
-        .where(F.col("file").contains("/dt=") & F.col("file").rlike(r"[.](parquet|json[.]gz)$"))
-    )
-    return files.select(F.regexp_extract("file", r"^(.*/dt=[^/]+/run_id=[^/]+)/[^/]+$", 1).alias("path")).where(
-        F.col("path") != ""
-    ).distinct()
-
-
-def _normal_path(path, root: str):
-    """Absolute artifact path whether the manifest stores it absolute or relative to the root."""
-    text = F.regexp_replace(path, "^file:/+", "/")
-    return F.when(text.startswith("/") | text.contains("://"), text).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), text))
-
-
-def manifest_violations(entries: DataFrame, folders: DataFrame, root: str) -> DataFrame:
-    """Manifest entries that disagree with their header, their file or the run id rules.
-
-    ``entries`` is ``explode_manifests`` output (all text); ``folders`` lists existing
-    artifact paths.
-    """
-    have = folders.select(F.regexp_replace("path", "^file:/+", "/").alias("_have"))
-    placed = entries.withColumn("_path", _normal_path(F.col("path"), root))
-    joined = placed.join(have, placed["_path"] == have["_have"], "left")
-    differs = [
-        ~F.col(f"manifest_{c}").eqNullSafe(F.col(c)) for c in ("source_id", "dataset", "partition_date")
-    ]
-    rules = {
-        "header_mismatch": differs[0] | differs[1] | differs[2],
-        "bad_partition_date": F.col("partition_date").cast("string").try_cast("date").isNull()
-        | F.col("manifest_partition_date").cast("string").try_cast("date").isNull(),
-        "bad_run_id": ~F.coalesce(Q.valid_run_id(F.col("run_id")), F.lit(False)),
-        "missing_path": F.coalesce(F.trim("path"), F.lit("")) == "",
-        "artifact_missing": F.col("_have").isNull(),
-        "bad_row_count": F.col("row_count").isNull() | (F.col("row_count") < 0),
-        "bad_written_at": F.col("written_at").cast("string").try_cast("timestamp").isNull(),
-    }
-    found = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
-    return (
-        joined.withColumn("violations", F.array_join(found, ","))
-        .where(F.size(found) > 0)
-        .drop("_path", "_have")
-    )
-
-
-def health_report(spark: SparkSession, root: str, deep: bool = False) -> DataFrame:
-    """(code, path, message) rows for every broken artifact of a zone; empty when healthy."""
-    entries = artifacts(spark, root)
-    folders = landed_folders(spark, root)
-    path = F.regexp_replace("path", "^file:/+", "/")
-    keyed = entries.withColumn("_path", path)
-    have = folders.select(F.col("path").alias("_have"))
-    issues = [
-        Q.duplicates(entries, ["source_id", "dataset", "partition_date", "run_id"]).select(
-            F.lit("duplicate_run_id").alias("code"),
-            F.col("run_id").alias("path"),
-            F.concat(F.lit("manifest repeats the run id "), "run_id").alias("message"),
-        ),
-        keyed.join(have, keyed["_path"] == have["_have"], "left_anti").select(
-            F.lit("artifact_missing").alias("code"), "path", F.lit("manifest references an artifact that does not exist").alias("message")
-        ),
-        have.join(keyed.select("_path"), have["_have"] == keyed["_path"], "left_anti").select(
-            F.lit("orphan_artifact").alias("code"), F.col("_have").alias("path"), F.lit("artifact is not listed in the manifest").alias("message")
-        ),
-        keyed.where(
-            ~F.col("_path").endswith(
-                F.concat(F.lit("/dt="), F.date_format("partition_date", "yyyyMMdd"), F.lit("/run_id="), F.col("run_id"))
-            )
-        ).select(F.lit("artifact_path_mismatch").alias("code"), "path", F.lit("artifact path does not name its day and run").alias("message")),
-        entries.where(F.col("row_count").isNull() | (F.col("row_count") < 0)).select(
-            F.lit("bad_row_count").alias("code"), "path", F.lit("row count is missing or negative").alias("message")
-        ),
-    ]
-    if deep:
-        issues.append(_row_count_issues(spark, keyed))
-    report = issues[0]
-    for issue in issues[1:]:
-        report = report.unionByName(issue)
-    return report
-
-
-def _row_count_issues(spark: SparkSession, keyed: DataFrame) -> DataFrame:
-    """Artifacts whose stored row count differs from a count of their rows."""
-    counted = None
-    kind = F.coalesce(F.col("metadata")["format"], F.lit("parquet"))
-    datasets = keyed.select("source_id", "dataset", kind.alias("format"), F.regexp_extract("_path", r"^(.*)/dt=", 1).alias("base")).distinct()
-    # One row per dataset: the catalogue of datasets, not of artifacts.
-    for row in datasets.collect():
-        reader = spark.read.schema(_with_partition(T.StructType([])))
-        if row["format"] == "json":
-            rows = spark.read.schema(_with_partition(T.StructType([T.StructField("_", T.StringType())]))).option("pathGlobFilter", "*.json.gz").json(row["base"])
-        else:
-            rows = reader.option("pathGlobFilter", "*.parquet").parquet(row["base"])
-        part = rows.groupBy("dt", "run_id").agg(F.count("*").alias("actual")).select(
-            F.concat(F.lit(row["base"] + "/dt="), "dt", F.lit("/run_id="), "run_id").alias("_counted"), "actual"
-        )
-        counted = part if counted is None else counted.unionByName(part)
-    empty = keyed.where(F.lit(False)).select(F.lit("").alias("code"), "path", F.lit("").alias("message"))
-    if counted is None:
-        return empty
-    joined = keyed.join(counted, keyed["_path"] == counted["_counted"], "left")
-    actual = F.coalesce("actual", F.lit(0))
-    return joined.where(F.col("row_count") != actual).select(
-        F.lit("row_count_mismatch").alias("code"),
-        "path",
-        F.concat(F.lit("manifest says "), F.col("row_count").cast("string"), F.lit(" rows, artifact holds "), actual.cast("string")).alias("message"),
-    )
+    return rows.select("*", F.regexp_extract(F.input_file_name(), r"([^/]+)[.]parquet$", 1).alias("run_id"))
