@@ -6,6 +6,8 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Columns no published table may carry, the two lineage tables may, the
@@ -66,12 +68,30 @@ def schema_differences(actual: T.StructType, expected: T.StructType, nullability
     return sorted(notes)
 
 
+def conformed(df: DataFrame, expected: T.StructType, table: str) -> DataFrame:
+    """The expected columns of ``df`` in their order; a column that is absent or of another type is an error.
+
+    Columns a table does not declare stay behind, and a column that happens never to be NULL becomes as nullable as
+    declared.
+    """
+    names = set(expected.names)
+    have = T.StructType([f for f in df.schema.fields if f.name in names])
+    # Order and nullability are put right below; all else must agree.
+    ordered = T.StructType(sorted(have.fields, key=lambda f: expected.names.index(f.name)))
+    problems = schema_differences(ordered, expected)
+    if problems:
+        raise ContractError(f"{table}: " + "; ".join(problems))
+    # nullif with NULL changes no value, but leaves a column that may be NULL as far as the plan knows.
+    fixed = {f.name: F.nullif(F.col(f.name), F.lit(None).cast(f.dataType)) for f in ordered.fields if not f.nullable}
+    return df.select(*[fixed.get(c, F.col(c)).alias(c) for c in expected.names])
+
+
 def require_contract(
     schema: T.StructType, expected: T.StructType | None, table: str, lineage: bool = False
 ) -> None:
     problems = [f"forbidden field: {p}" for p in forbidden_fields(schema, lineage, event="event" in table)]
     if expected is not None:
-        problems += schema_differences(schema, expected)
+        problems += schema_differences(schema, expected, nullability=True)
     if problems:
         raise ContractError(f"{table}: " + "; ".join(problems))
 

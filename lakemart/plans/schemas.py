@@ -241,3 +241,83 @@ MART_KEYS = {
 
 def mart_key(mart: str) -> list[str]:
     return MART_KEYS[mart].split()
+
+
+# Published columns of each mart, in order.  Their types follow from the
+# names: see ``mart_type``.
+MART_COLUMNS = {
+    "dim_security": """
+        security_id symbol display_name market industry list_date is_active area fullname exchange
+        curr_type list_status delist_date setup_date province city reg_capital employees main_business
+        latest_namechange_name latest_namechange_start_date latest_namechange_end_date
+        latest_namechange_ann_date latest_namechange_reason
+    """,
+    "stock_basic": "security_id symbol display_name area industry market list_date is_active",
+    "dim_index": "index_id index_name index_market index_category first_effective_date latest_effective_date",
+    "fact_price_bar": f"security_id trade_date freq {BAR_FIGURES} adj_factor",
+    "fact_financial_indicator": """
+        security_id end_date ann_date f_ann_date report_type comp_type update_flag is_latest basic_eps
+        diluted_eps total_revenue revenue operate_profit total_profit n_income n_income_attr_p money_cap
+        total_cur_assets total_assets total_cur_liab total_liab total_hldr_eqy_exc_min_int
+        total_liab_hldr_eqy net_profit n_cashflow_act n_cashflow_inv_act n_cash_flows_fnc_act
+        n_incr_cash_cash_equ free_cashflow eps dt_eps grossprofit_margin netprofit_margin roe roa
+        debt_to_assets or_yoy netprofit_yoy
+    """,
+    "fact_market_daily_feature": """
+        security_id trade_date close turnover_rate turnover_rate_f volume_ratio pe pe_ttm pb ps ps_ttm
+        dv_ratio dv_ttm total_share float_share free_share total_mv circ_mv up_limit down_limit
+    """ + MONEYFLOW_COLUMNS.removeprefix("ts_code trade_date"),
+    "fact_index_price_bar": f"index_id trade_date {BAR_FIGURES} exchange is_open pretrade_date",
+    "fact_forecast_event": """
+        security_id announcement_date report_period forecast_type p_change_min p_change_max net_profit_min
+        net_profit_max last_parent_net first_ann_date summary change_reason update_flag
+    """,
+    "fact_event": """
+        event_type entity_id event_date event_key title summary event_subtype related_date reference_url
+        rec_time
+    """,
+    "fact_holding_position": """
+        holding_source holder_id holder_name holder_type security_id report_date announced_date
+        holding_amount holding_ratio holding_float_ratio holding_change market_value exchange
+    """,
+    "fact_northbound_turnover": """
+        security_id trade_date security_name market_type rank close change amount net_amount buy_amount
+        sell_amount
+    """,
+}
+# Text columns of the marts, and what is neither text nor a figure.
+MART_TEXT = """
+    security_id symbol display_name market industry area fullname exchange curr_type list_status province
+    city main_business latest_namechange_name latest_namechange_reason index_id index_name index_market
+    index_category freq report_type comp_type update_flag forecast_type summary change_reason event_type
+    entity_id event_key title event_subtype reference_url rec_time holding_source holder_id holder_name
+    holder_type security_name market_type
+""".split()
+LINEAGE_COLUMNS = {
+    "source_provider": T.StringType(),
+    "source_interface_id": T.StringType(),
+    "source_run_id": T.StringType(),
+    "raw_loaded_at": T.TimestampNTZType(),
+}
+
+
+def mart_type(column: str) -> T.DataType:
+    """Dates end in ``date`` (a report period is one too), flags start with ``is_``, a rank is whole, other figures are decimals."""
+    if column.endswith("date") or column == "report_period":
+        return T.DateType()
+    if column.startswith("is_"):
+        return T.BooleanType()
+    if column == "rank":
+        return T.IntegerType()
+    return T.StringType() if column in MART_TEXT else MEASURE
+
+
+def mart_schema(mart: str) -> T.StructType:
+    """Declared columns of a mart, all nullable, without the load time every published table gets."""
+    return T.StructType([T.StructField(c, mart_type(c)) for c in MART_COLUMNS[mart].split()])
+
+
+def lineage_schema(mart: str) -> T.StructType:
+    """Declared columns of a mart's lineage: its key and where the row comes from."""
+    keys = [T.StructField(c, mart_type(c)) for c in mart_key(mart)]
+    return T.StructType(keys + [T.StructField(c, t) for c, t in LINEAGE_COLUMNS.items()])

@@ -12,17 +12,18 @@ import json
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.operators.quality import pairing_report
 from lakemart.operators.shaping import matching, only
-from lakemart.plans import contracts, manifests, schemas
-from lakemart.sources.raw_zone import read_or_empty
+from lakemart.plans import contracts, manifests, marts, schemas
+from lakemart.session import remove, written
+from lakemart.sources.raw_zone import plain_path, read_or_empty
 
 MART_SPACE = "canonical_v2"
 LINEAGE_SPACE = "canonical_lineage"
@@ -65,12 +66,38 @@ class EmptyResult(ValueError):
     """An empty table was about to be published."""
 
 
+@dataclass(frozen=True)
+class KeyDigest:
+    """What a write tells about its keys: rows, rows with a NULL in the key, and two sums of key hashes.
+
+    Tables with equal digests hold the same keys equally often: the sums of two independent 64-bit hashes do not
+    agree otherwise, save with a chance of about 2^-100.
+    """
+
+    rows: int
+    null_rows: int
+    first: int
+    second: int
+
+    @staticmethod
+    def columns(keys: Sequence[str]) -> list[Column]:
+        key = [F.col(k) for k in keys]
+        wide = lambda h: F.sum(h.cast("decimal(20,0)"))
+        missing = F.greatest(*[k.isNull() for k in key], F.lit(False))
+        return [
+            F.count_if(missing).alias("null_rows"),
+            wide(F.xxhash64(*key)).alias("first"),
+            wide(F.xxhash64(F.lit("second"), *key)).alias("second"),
+        ]
+
+
 @dataclass(frozen=True)
 class WriteResult:
     table: str
     snapshot_id: int
     row_count: int
     duration_ms: int
+    digest: KeyDigest | None = None
 
 
 def now_ntz() -> datetime:
@@ -107,26 +134,30 @@ def write_snapshot(
     expected: T.StructType | None = None,
     allow_empty: bool = False,
     month_of: str | None = None,
+    keys: Sequence[str] = (),
 ) -> WriteResult:
-    """Writes one immutable version after the contract check; the row count comes from the same job.
+    """Writes one immutable version after the contract check; row count and key digest come from the same job.
 
     ``month_of`` names a date column whose month partitions the files, so readers that
-    filter on ``trade_month`` skip whole months.
+    filter on ``trade_month`` skip whole months.  A folder that an unfinished attempt left is replaced;
+    callers take ids that no manifest names.
     """
     contracts.require_contract(df.schema, expected, table, lineage=table.startswith(LINEAGE_SPACE))
     counted = Observation()
     started = time.monotonic()
-    out = df.observe(counted, F.count("*").alias("rows"))
+    out = df.observe(counted, F.count("*").alias("rows"), *(KeyDigest.columns(keys) if keys else []))
     if month_of:
         out = out.withColumn("trade_month", F.date_format(month_of, "yyyyMM"))
-    writer = out.write.mode("errorifexists")
+    writer = out.write.mode("overwrite")
     if month_of:
         writer = writer.partitionBy("trade_month")
     writer.parquet(snapshot_path(root, table, snapshot_id))
-    rows = counted.get["rows"]
+    seen = counted.get
+    rows = seen["rows"]
     if not rows and not allow_empty:
         raise EmptyResult(f"{table} has no rows")
-    return WriteResult(table, snapshot_id, rows, int((time.monotonic() - started) * 1000))
+    digest = KeyDigest(rows, seen["null_rows"], int(seen["first"] or 0), int(seen["second"] or 0)) if keys else None
+    return WriteResult(table, snapshot_id, rows, int((time.monotonic() - started) * 1000), digest)
 
 
 def require_pairing(mart: DataFrame, lineage: DataFrame, keys: Sequence[str], table: str) -> None:
@@ -143,6 +174,19 @@ def require_pairing(mart: DataFrame, lineage: DataFrame, keys: Sequence[str], ta
         raise PairingError(f"{table}: {', '.join(problems)}; coverage {report['coverage']:.1%}: {report}")
 
 
+def _next_id(previous) -> int:
+    return max(previous["set_id"] if previous else 0, int(time.time() * 1000) - 1) + 1
+
+
+def _declared(name: str, expected: Mapping[str, T.StructType] | None) -> tuple[T.StructType | None, T.StructType | None]:
+    """Schemas of a mart and its lineage: the given ones, else the declared ones, else (a mart of one's own) none."""
+    if expected is not None:
+        return expected.get(f"{MART_SPACE}.{name}"), expected.get(f"{LINEAGE_SPACE}.lineage_{name}")
+    if name not in schemas.MART_COLUMNS:
+        return None, None
+    return schemas.mart_schema(name), schemas.lineage_schema(name)
+
+
 def publish_pairs(
     spark: SparkSession,
     root: str,
@@ -155,37 +199,93 @@ def publish_pairs(
 ) -> list[WriteResult]:
     """Publishes marts with their lineage as one set.
 
-    Every table gets the same load time.  All versions are written and all pairs
-    checked against the written files before the manifest row that makes them visible;
-    any failure leaves the previous set in force.
+    All schemas are checked before anything is written: the marts of this library against their
+    declared columns (names, order, types, nullability), others against ``expected``, which replaces the declared
+    ones where it is given.  Every table gets the same load time.  Row counts and key digests come from the writing
+    jobs; a pair is accepted if its digests are equal, no key has a NULL and the keys of the written lineage are
+    unique.  The manifest row that makes the set visible comes last; any failure leaves the previous set in force.
     """
     previous = _newest_set(spark, root)
-    snapshot_id = max(previous["set_id"] if previous else 0, int(time.time() * 1000) - 1) + 1
+    snapshot_id = _next_id(previous)
     stamp = loaded_at or now_ntz()
     loaded = F.lit(stamp).cast("timestamp_ntz").alias(contracts.LOADED_AT)
+    stamp_field = T.StructField(contracts.LOADED_AT, T.TimestampNTZType())
+    planned = []
+    for name, pair in pairs.items():
+        key = list((keys or {}).get(name) or schemas.mart_key(name))
+        for space, label, df, wanted in zip((MART_SPACE, LINEAGE_SPACE), (name, f"lineage_{name}"), pair, _declared(name, expected), strict=True):
+            table = f"{space}.{label}"
+            stamped = df.select(*[c for c in df.columns if c != contracts.LOADED_AT], loaded)
+            if wanted is not None:
+                names = [f for f in wanted.fields if f.name != contracts.LOADED_AT]
+                wanted = T.StructType([*names, stamp_field])
+                stamped = contracts.conformed(stamped, wanted, table)
+            contracts.require_contract(stamped.schema, wanted, table, lineage=space == LINEAGE_SPACE)
+            planned.append((name, table, key, stamped, wanted))
     results, entries = [], {}
-    for name, (mart, lineage) in pairs.items():
+    for name, table, key, stamped, wanted in planned:
         month = (month_of or {}).get(name)
-        for space, df in ((MART_SPACE, mart), (LINEAGE_SPACE, lineage)):
-            table = f"{space}.{name if space == MART_SPACE else 'lineage_' + name}"
-            stamped = df.select("*", loaded)
-            in_month = month if month and month in df.columns else None
-            wanted = (expected or {}).get(table)
-            result = write_snapshot(stamped, root, table, snapshot_id, wanted, allow_empty, in_month)
-            results.append(result)
-            entries[table] = (snapshot_id, result.row_count, stamped.schema.json(), in_month)
-    for name in pairs:
-        key = list((keys or {}).get(name) or schemas.mart_key(name))
-        mart = _read_version(spark, root, f"{MART_SPACE}.{name}", entries)
-        lineage = _read_version(spark, root, f"{LINEAGE_SPACE}.lineage_{name}", entries)
-        require_pairing(mart.select(*key), lineage.select(*key), key, name)
+        in_month = month if month and month in stamped.columns else None
+        result = write_snapshot(stamped, root, table, snapshot_id, wanted, allow_empty, in_month, key)
+        results.append(result)
+        entries[table] = (snapshot_id, result.row_count, stamped.schema.json(), in_month)
+    for number, name in enumerate(pairs):
+        _require_equal_keys(spark, root, name, planned[2 * number][2], results[2 * number], results[2 * number + 1], entries)
     carried = dict(previous["tables"].items()) if previous else {}
     tables = {**{t: tuple(v) for t, v in carried.items()}, **entries}
-    row = (snapshot_id, stamp, tables)
-    spark.createDataFrame([row], SET_SCHEMA).coalesce(1).write.mode("append").parquet(_sets_path(root))
+    _append_set(spark, root, snapshot_id, stamp, tables)
     return results
 
 
+def _append_set(spark: SparkSession, root: str, set_id: int, stamp: datetime, tables: Mapping[str, tuple]) -> None:
+    spark.createDataFrame([(set_id, stamp, dict(tables))], SET_SCHEMA).coalesce(1).write.mode("append").parquet(_sets_path(root))
+
+
+def _require_equal_keys(spark, root, name, key, mart: WriteResult, lineage: WriteResult, entries) -> None:
+    """Equal digests, no NULL, and unique keys, which are read back from the narrower of the two tables only."""
+    if mart.digest != lineage.digest or mart.digest.null_rows:
+        # The report that says what differs costs both scans; it is only made for the error.
+        sides = [_read_version(spark, root, r.table, entries).select(*key) for r in (mart, lineage)]
+        require_pairing(*sides, key, name)
+        raise PairingError(f"{name}: key digests differ: {mart.digest} and {lineage.digest}")
+    stored = _read_version(spark, root, lineage.table, entries)
+    repeated = stored.groupBy(*key).count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise PairingError(f"{name}: duplicate key {repeated[0].asDict()}")
+
+
+def publish_marts(
+    spark: SparkSession,
+    root: str,
+    staged: Mapping[str, DataFrame],
+    names: Sequence[str] | None = None,
+    loaded_at: datetime | None = None,
+    allow_empty: bool = False,
+    month_of: Mapping[str, str] | None = None,
+    complete_keys: bool = False,
+) -> list[WriteResult]:
+    """Builds and publishes the marts over staging tables, all of them or ``names``, as one set.
+
+    Every intermediate is executed once: it is written to the shared folder, the marts and lineages
+    projected from it read that table, and it is deleted when the set is out.  A NULL in a key is an
+    error; with ``complete_keys`` such rows are left out of the mart and its lineage alike.
+    """
+    built: dict[Any, tuple[DataFrame, str]] = {}
+    pairs = {}
+    try:
+        for name in names or marts.MARTS:
+            build, project = marts.MARTS[name]
+            if build not in built:
+                built[build] = written(build(staged))
+            pairs[name] = project(built[build][0])
+            if complete_keys:
+                pairs[name] = tuple(df.dropna(subset=schemas.mart_key(name)) for df in pairs[name])
+        return publish_pairs(spark, root, pairs, loaded_at=loaded_at, allow_empty=allow_empty, month_of=month_of)
+    finally:
+        for _, folder in built.values():
+            remove(spark, folder)
+
+
 def _read_version(spark: SparkSession, root: str, table: str, entries: Mapping[str, Sequence]) -> DataFrame:
     snapshot_id, _, schema, month = entries[table]
     return _read(spark, root, table, snapshot_id, T.StructType.fromJson(json.loads(schema)), month)
@@ -263,16 +363,27 @@ def evolve_table(
     return plan
 
 
+def _partner(table: str) -> tuple[str, str]:
+    """The other table of a pair, and the mart's name."""
+    space, name = table.split(".", 1)
+    if space == MART_SPACE:
+        return f"{LINEAGE_SPACE}.lineage_{name}", name
+    return f"{MART_SPACE}.{name.removeprefix('lineage_')}", name.removeprefix("lineage_")
+
+
 def _replace(spark: SparkSession, root: str, table: str, df: DataFrame) -> WriteResult:
+    """A new version of one table in a new set; its keys must still be those of the table it is paired with."""
     previous = _newest_set(spark, root)
-    entry = previous["tables"][table]
-    snapshot_id = max(previous["set_id"], int(time.time() * 1000) - 1) + 1
-    result = write_snapshot(df, root, table, snapshot_id, month_of=entry["month_of"])
     tables = {t: tuple(v) for t, v in previous["tables"].items()}
-    tables[table] = (snapshot_id, result.row_count, df.schema.json(), entry["month_of"])
-    spark.createDataFrame([(snapshot_id, now_ntz(), tables)], SET_SCHEMA).coalesce(1).write.mode("append").parquet(
-        _sets_path(root)
-    )
+    month = tables[table][3]
+    snapshot_id = _next_id(previous)
+    result = write_snapshot(df, root, table, snapshot_id, month_of=month)
+    tables[table] = (snapshot_id, result.row_count, df.schema.json(), month)
+    other, name = _partner(table)
+    if other in tables and name in schemas.MART_KEYS:
+        key = schemas.mart_key(name)
+        require_pairing(*[_read_version(spark, root, t, tables).select(*key) for t in (table, other)], key, name)
+    _append_set(spark, root, snapshot_id, now_ntz(), tables)
     return result
 
 
@@ -301,6 +412,74 @@ def backfill_from_select(
     return _replace(spark, root, table, stamped)
 
 
+# --------------------------------------------------------------- contracts and leftovers
+
+
+def contract_violations(spark: SparkSession, root: str) -> DataFrame:
+    """(table_name, problem) for every way a published table differs from its declared schema; one row of metadata is read."""
+    newest = _newest_set(spark, root)
+    found = []
+    for table, entry in (newest["tables"].items() if newest else ()):
+        name = _partner(table)[1]
+        if name in schemas.MART_COLUMNS:
+            wanted = schemas.mart_schema(name) if table.startswith(f"{MART_SPACE}.") else schemas.lineage_schema(name)
+            wanted = T.StructType([*wanted.fields, T.StructField(contracts.LOADED_AT, T.TimestampNTZType())])
+            actual = T.StructType.fromJson(json.loads(entry["schema"]))
+            found += [(table, p) for p in contracts.schema_differences(actual, wanted, nullability=True)]
+    return spark.createDataFrame(found, "table_name string, problem string")
+
+
+def named_versions(spark: SparkSession, root: str) -> DataFrame:
+    """(table_name, snapshot_id) of every version any manifest names, of any set and any cycle."""
+    sets = published_sets(spark, root).select(F.explode("tables").alias("table_name", "_e")).select("table_name", F.col("_e.snapshot_id").alias("snapshot_id"))
+    cycles = manifests.published_tables(published_cycles(spark, root)).select("table_name", "snapshot_id")
+    return sets.union(cycles).distinct()
+
+
+def stored_versions(spark: SparkSession, root: str) -> DataFrame:
+    """(table_name, snapshot_id, path, files, bytes, last_write) of every version folder, by a distributed listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(
+        plain_path(F.col("path")).alias("file"), "length", "modificationTime"
+    )
+    version = r"^(.*/([^/]+)/([^/]+)/v=(\d+))/"
+    part = lambda n: F.regexp_extract("file", version, n)
+    named = files.where(F.col("file").rlike(version)).select(
+        F.concat(part(2), F.lit("."), part(3)).alias("table_name"), part(4).cast("long").alias("snapshot_id"), part(1).alias("path"), "length", "modificationTime"
+    )
+    return named.groupBy("table_name", "snapshot_id", "path").agg(
+        F.count("*").alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("last_write")
+    )
+
+
+def leftovers(spark: SparkSession, root: str, grace: timedelta = timedelta(days=7), now: datetime | None = None) -> DataFrame:
+    """Versions no manifest names whose last file is older than ``grace``: what failed publishes left behind.
+
+    Mark and sweep: all named versions are kept, pinned and carried ones included, whichever set they are from.
+    ``grace`` protects a publish that is still writing.
+    """
+    stored = stored_versions(spark, root)
+    kept = named_versions(spark, root).select(F.col("table_name").alias("_t"), F.col("snapshot_id").alias("_s"))
+    edge = (F.current_timestamp() if now is None else F.lit(now)) - F.make_dt_interval(secs=F.lit(grace.total_seconds()))
+    old = stored.where(F.col("last_write") < edge)
+    return old.join(kept, (old["table_name"] == kept["_t"]) & (old["snapshot_id"] == kept["_s"]), "left_anti")
+
+
+def vacuum(spark: SparkSession, root: str, grace: timedelta = timedelta(days=7)) -> int:
+    """Deletes the ``leftovers``; returns how many versions went.
+
+    The list is written first and read one folder at a time.  A run that stops half way is simply repeated.
+    """
+    table, folder = written(leftovers(spark, root, grace).select("path"))
+    gone = 0
+    try:
+        for row in table.toLocalIterator():
+            remove(spark, row["path"])
+            gone += 1
+    finally:
+        remove(spark, folder)
+    return gone
+
+
 # --------------------------------------------------------------- formal objects
 
 
@@ -318,7 +497,8 @@ def publish_formal(
 ) -> None:
     """Writes a cycle's formal objects, then its manifest row; a cycle publishes once.
 
-    The four required objects must be present and none may reveal a source.
+    The four required objects must be present and none may reveal a source.  A publish that failed can
+    be repeated with its id.
     """
     unknown = sorted(set(objects) - set(manifests.FORMAL_OBJECTS))
     missing = [n for n in manifests.REQUIRED_OBJECTS if n not in objects]
@@ -330,8 +510,12 @@ def publish_formal(
         hidden = contracts.forbidden_formal_fields(df.schema)
         if hidden:
             raise contracts.ContractError(f"{name}: forbidden public fields {hidden}")
+    taken = manifests.published_tables(published_cycles(spark, root)).where(F.col("snapshot_id") == snapshot_id)
+    if not taken.isEmpty():
+        raise AlreadyPublished(f"snapshot {snapshot_id}")
+    # No manifest names the id, so what lies under it is left from an attempt that failed.
     for name, df in objects.items():
-        df.write.mode("errorifexists").parquet(snapshot_path(root, f"{manifests.FORMAL_NAMESPACE}.{name}", snapshot_id))
+        df.write.mode("overwrite").parquet(snapshot_path(root, f"{manifests.FORMAL_NAMESPACE}.{name}", snapshot_id))
     entries = {f"{manifests.FORMAL_NAMESPACE}.{name}": (snapshot_id,) for name in objects}
     row = (cycle_id, published_at or now_ntz(), entries)
     spark.createDataFrame([row], manifests.MANIFEST_ROWS).coalesce(1).write.mode("append").parquet(_cycles_path(root))

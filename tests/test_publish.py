@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from lakemart.plans import contracts as C
 from lakemart.plans import manifests as M
+from lakemart.plans import schemas
 from lakemart.sources import cycle_store as Y
 from lakemart.sources import snapshots as S
 
@@ -26,12 +27,17 @@ def pair(frame, *codes, lineage=None):
 MART = "canonical_v2.stock_basic"
 
 
+def publish(*given, **named):
+    """Tables of a few columns, so without the declared schemas."""
+    return S.publish_pairs(*given, **named, expected={})
+
+
 def test_publish_read_and_pin(spark, root, frame, rows):
     stamp = datetime(2026, 5, 1)
-    results = S.publish_pairs(spark, root, pair(frame, "a", "c"), loaded_at=stamp)
+    results = publish(spark, root, pair(frame, "a", "c"), loaded_at=stamp)
     assert [(r.table, r.row_count) for r in results] == [(MART, 2), ("canonical_lineage.lineage_stock_basic", 2)]
     first = S.current_snapshot_id(spark, root, MART)
-    S.publish_pairs(spark, root, pair(frame, "a", "b", "c"))
+    publish(spark, root, pair(frame, "a", "b", "c"))
     assert rows(S.read_table(spark, root, MART, columns=["security_id"])) == [("a",), ("b",), ("c",)]
     assert rows(S.read_table(spark, root, MART, first, ["security_id", "canonical_loaded_at"])) == [("a", stamp), ("c", stamp)]
     assert rows(S.read_table(spark, root, MART, filters=[("security_id", "in", ["b", "x"])]), "security_id") == [("b",)]
@@ -45,9 +51,9 @@ def test_publish_read_and_pin(spark, root, frame, rows):
     "codes,lineage", [(["a", "b"], ["a"]), (["a", "b"], ["a", "c"]), (["a", "a"], ["a", "a"]), (["a"], ["a", "a"])]
 )
 def test_failed_pairing_leaves_the_previous_set(spark, root, frame, rows, codes, lineage):
-    S.publish_pairs(spark, root, pair(frame, "old"))
+    publish(spark, root, pair(frame, "old"))
     with pytest.raises(S.PairingError):
-        S.publish_pairs(spark, root, pair(frame, *codes, lineage=lineage))
+        publish(spark, root, pair(frame, *codes, lineage=lineage))
     assert rows(S.read_table(spark, root, MART), "security_id") == [("old",)]
 
 
@@ -55,7 +61,7 @@ def test_empty_and_unpublished(spark, root, frame):
     with pytest.raises(S.SnapshotNotPublished):
         S.read_table(spark, root, MART)
     with pytest.raises(S.EmptyResult):
-        S.publish_pairs(spark, root, {"stock_basic": tuple(df.where("false") for df in pair(frame, "a")["stock_basic"])})
+        publish(spark, root, {"stock_basic": tuple(df.where("false") for df in pair(frame, "a")["stock_basic"])})
     with pytest.raises(S.SnapshotNotPublished):
         S.read_table(spark, root, MART)
 
@@ -63,7 +69,7 @@ def test_empty_and_unpublished(spark, root, frame):
 def test_month_partitions_prune(spark, root, frame, rows):
     bars = frame("security_id string, trade_date date, freq string", ("a", date(2026, 1, 5), "daily"), ("a", date(2026, 2, 5), "daily"))
     side = bars.withColumn("source_run_id", F.lit("r"))
-    S.publish_pairs(spark, root, {"fact_price_bar": (bars, side)}, month_of={"fact_price_bar": "trade_date"})
+    publish(spark, root, {"fact_price_bar": (bars, side)}, month_of={"fact_price_bar": "trade_date"})
     january = S.read_table(spark, root, "canonical_v2.fact_price_bar", columns=["security_id", "trade_date"], filters=[("trade_month", "=", "202601")])
     assert rows(january) == [("a", date(2026, 1, 5))]
     assert "trade_month" not in S.read_table(spark, root, "canonical_v2.fact_price_bar").columns
@@ -109,7 +115,7 @@ def test_evolution_rules(target, changes, rejected):
 
 
 def test_evolution_keeps_older_snapshots(spark, root, frame, rows):
-    S.publish_pairs(spark, root, pair(frame, "a"))
+    publish(spark, root, pair(frame, "a"))
     first = S.current_snapshot_id(spark, root, MART)
     current = S.read_table(spark, root, MART).schema
     target = T.StructType([*current.fields, T.StructField("note", X)])
@@ -121,11 +127,14 @@ def test_evolution_keeps_older_snapshots(spark, root, frame, rows):
 
 
 def test_backfill_from_select(spark, root, frame, rows):
-    S.publish_pairs(spark, root, pair(frame, "a"))
-    sql = "select 'z' as security_id, 'zz' as symbol, true as is_active"
+    publish(spark, root, pair(frame, "a"))
+    sql = "select 'a' as security_id, 'zz' as symbol, true as is_active"
     assert S.backfill_from_select(spark, root, MART, sql, dry_run=True) is None
     S.backfill_from_select(spark, root, MART, sql)
-    assert rows(S.read_table(spark, root, MART), "security_id") == [("z",)]
+    assert rows(S.read_table(spark, root, MART), "security_id", "symbol") == [("a", "zz")]
+    with pytest.raises(S.PairingError):  # the lineage still holds the key a
+        S.backfill_from_select(spark, root, MART, sql.replace("'a'", "'z'"))
+    assert rows(S.read_table(spark, root, MART), "security_id", "symbol") == [("a", "zz")]
     for bad in ("", "select 1; select 2", "drop table x", "create view v as select 1", "with t as (select 1) insert into x select 1"):
         with pytest.raises(Exception):
             S.backfill_from_select(spark, root, MART, bad)
@@ -133,6 +142,71 @@ def test_backfill_from_select(spark, root, frame, rows):
         S.backfill_from_select(spark, root, MART, "select 'z' as security_id")
 
 
+def declared_pair(spark, frame, name="stock_basic", codes=("a", "b")):
+    """One row per code in the declared columns of a mart and its lineage."""
+    sides = []
+    for schema, key in ((schemas.mart_schema(name), "security_id"), (schemas.lineage_schema(name), "security_id")):
+        df = frame(f"{key} string", *[(c,) for c in codes])
+        sides.append(df.select(*[(F.col(key) if f.name == key else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]))
+    return {name: tuple(sides)}
+
+
+def test_marts_meet_their_declared_schema_by_default(spark, root, frame, rows):
+    mart, lineage = declared_pair(spark, frame)["stock_basic"]
+    with pytest.raises(C.ContractError, match="missing column: area"):
+        S.publish_pairs(spark, root, {"stock_basic": (mart.drop("area"), lineage)})
+    with pytest.raises(C.ContractError, match="type of list_date"):
+        S.publish_pairs(spark, root, {"stock_basic": (mart.withColumn("list_date", F.lit("x")), lineage)})
+    with pytest.raises(C.ContractError, match="forbidden"):
+        S.publish_pairs(spark, root, {"own": (frame("security_id string, source_run_id string", ("a", "r")), lineage)}, {"own": ["security_id"]})
+    with pytest.raises(S.SnapshotNotPublished):
+        S.read_table(spark, root, MART)
+    # Order and undeclared columns are put right, a column that is never NULL counts as declared.
+    shuffled = mart.select(*reversed(mart.columns)).withColumns({"is_active": F.lit(True), "helper": F.lit(1)})
+    S.publish_pairs(spark, root, {"stock_basic": (shuffled, lineage)})
+    assert S.read_table(spark, root, MART).columns == [*schemas.MART_COLUMNS["stock_basic"].split(), "canonical_loaded_at"]
+    assert S.contract_violations(spark, root).isEmpty()
+    publish(spark, root, {"stock_basic": (shuffled, lineage)})
+    found = {r["problem"] for r in S.contract_violations(spark, root).collect()}
+    assert found == {"unexpected column: helper", "nullability of is_active", "nullability of canonical_loaded_at"}
+
+
+@pytest.mark.parametrize("mart, lineage", [(["a", None], ["a", None]), (["a", "a", "b"], ["a", "a", "b"]), (["a", "a", "b"], ["a", "b", "b"])])
+def test_keys_are_proved_from_the_write(spark, root, frame, mart, lineage):
+    sides = [frame("security_id string, n int", *[(c, 1) for c in codes]) for codes in (mart, lineage)]
+    with pytest.raises(S.PairingError):
+        publish(spark, root, {"stock_basic": tuple(sides)})
+    with pytest.raises(S.SnapshotNotPublished):
+        S.read_table(spark, root, MART)
+
+
+def test_vacuum_takes_what_no_manifest_names(spark, root, frame, rows):
+    publish(spark, root, pair(frame, "old"))
+    first = S.current_snapshot_id(spark, root, MART)
+    publish(spark, root, pair(frame, "new"))
+    S.publish_formal(spark, root, "CYCLE_20260414", formal(frame, 1), 11, datetime(2026, 4, 14))
+    with pytest.raises(S.PairingError):
+        publish(spark, root, pair(frame, "a", lineage=["b"]))
+    before = {(r["table_name"], r["snapshot_id"]) for r in S.stored_versions(spark, root).collect()}
+    assert S.leftovers(spark, root).isEmpty() and S.vacuum(spark, root) == 0
+    lost = S.leftovers(spark, root, timedelta(0)).collect()
+    assert {r["table_name"] for r in lost} == {MART, "canonical_lineage.lineage_stock_basic"} and len(lost) == 2
+    assert S.vacuum(spark, root, timedelta(0)) == 2
+    after = {(r["table_name"], r["snapshot_id"]) for r in S.stored_versions(spark, root).collect()}
+    assert before - after == {(r["table_name"], r["snapshot_id"]) for r in lost}
+    assert rows(S.read_table(spark, root, MART, first), "security_id") == [("old",)]
+    assert S.read_formal(spark, root, "official_alpha_pool")[2].first()["score"] == 1
+
+
+def test_a_failed_formal_publish_can_be_repeated(spark, root, frame):
+    left = f"{root}/formal/official_alpha_pool/v=11"
+    frame("score int", (9,), (9,)).write.parquet(left)
+    S.publish_formal(spark, root, "CYCLE_20260414", formal(frame, 1), 11)
+    assert [r["score"] for r in S.read_formal(spark, root, "official_alpha_pool")[2].collect()] == [1]
+    with pytest.raises(S.AlreadyPublished):
+        S.publish_formal(spark, root, "CYCLE_20260415", formal(frame, 2), 11)
+
+
 def formal(frame, value):
     return {n: frame("score int", (value,)) for n in M.REQUIRED_OBJECTS}
 
