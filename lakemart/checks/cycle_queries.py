@@ -194,7 +194,8 @@ def _current(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     flag = F.when(F.col("o_orderstatus") == "O", "1").otherwise("0")
     calendar = orders.select(day("o_orderdate").alias("cal_date"), flag.alias("is_open")).distinct()
     daily = orders.select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ts_code"), day("o_orderdate").alias("trade_date"))
-    return customers.select(code), calendar, daily, customers.where(F.col("c_acctbal") > 0).select(code)
+    listed = F.when(F.col("c_acctbal") > 0, F.lit(" c")).otherwise(F.lit("closed-c"))
+    return customers.select(code), calendar, daily, customers.select(F.concat(listed, F.col("c_custkey").cast("string")).alias("ts_code"))
 
 
 @query(
@@ -209,6 +210,21 @@ def current_cycle(spark, sf):
     return portable(C.readiness(*_current(spark, sf)))
 
 
+@query(
+    "current_cycle_ready",
+    _CURRENT_SQL + """
+    select cast(d as varchar) as trade_date, 'CYCLE_' || strftime(d, '%Y%m%d') as cycle_id, cast(0 as bigint) as missing_symbols,
+           cast(null as varchar) as reason, true as ready from t where exists (select 1 from m where has_bar and has_basic)
+    """,
+)
+def current_cycle_ready(spark, sf):
+    """The same day for the symbols that miss nothing."""
+    symbols, calendar, daily, basics = _current(spark, sf)
+    missing = C.missing_symbols(symbols, calendar, daily, basics).select("symbol")
+    whole = symbols.join(missing, F.upper(F.trim("ts_code")) == F.col("symbol"), "left_anti")
+    return portable(C.readiness(whole, calendar, daily, basics))
+
+
 @query(
     "current_cycle_missing",
     _CURRENT_SQL + "select 'C' || c_custkey as symbol, has_bar, has_basic from m where not (has_bar and has_basic)",
@@ -241,20 +257,21 @@ def _entities(spark, sf):
     customers, nations = table(spark, sf, "customer"), table(spark, sf, "nation")
     alias = F.concat(F.lit("c"), F.col("c_custkey").cast("string"))
     nation = F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))
-    entities = nations.where(F.col("n_nationkey") < 20).select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("canonical_entity_id"))
-    listed = customers.select(alias.alias("alias"), nation.alias("canonical_entity_id"), F.lit(2).alias("created_at"))
+    known = F.when(F.col("n_nationkey") < 20, F.lit("n")).otherwise(F.lit("retired-n"))
+    entities = nations.select(F.concat(known, F.col("n_nationkey").cast("string"), F.lit(" ")).alias("canonical_entity_id"))
+    padded = F.concat(F.lit(" "), alias, F.lit(" "))
+    listed = customers.select(padded.alias("alias"), nation.alias("canonical_entity_id"), F.lit(2).alias("created_at"))
     candidates = (
         customers.select(alias.alias("candidate_id"))
         .union(nations.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string"))))
         .union(table(spark, sf, "region").select(F.concat(F.lit("x"), F.col("r_regionkey").cast("string"))))
     )
-    securities = customers.where(F.col("c_acctbal") > 0).select(
-        alias.alias("security_id"), F.col("c_mktsegment").alias("market"), F.lit(" ").alias("industry")
-    )
+    traded = F.when(F.col("c_acctbal") > 0, alias).otherwise(F.concat(F.lit("closed-"), alias))
+    securities = customers.select(traded.alias("security_id"), F.col("c_mktsegment").alias("market"), F.lit(" ").alias("industry"))
+    priced = F.when(F.col("o_orderstatus") == "O", F.lit("c")).otherwise(F.concat(F.lit("old-"), "o_orderstatus", F.lit("-c")))
     bars = (
         table(spark, sf, "orders")
-        .where(F.col("o_orderstatus") == "O")
-        .groupBy(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("security_id"))
+        .groupBy(F.concat(priced, F.col("o_custkey").cast("string")).alias("security_id"))
         .agg(F.max(money("o_totalprice")).alias("close"), F.min(money("o_totalprice")).alias("pre_close"))
         .select(
             "*", F.lit(date(2024, 1, 31)).alias("trade_date"), F.lit("Daily").alias("freq"),
@@ -280,6 +297,23 @@ def entity_resolve(spark, sf):
     )
 
 
+@query(
+    "entity_complete_cycle",
+    _ENTITY_SQL + """
+    select id as candidate_id, res.entity as entity_id, round(cast(close as double), 6) as close, c_mktsegment as market
+    from res join usable using (alias) where res.alias is not null
+    """,
+)
+def entity_complete_cycle(spark, sf):
+    """The inputs of a cycle of resolvable candidates, in the form that gives all of them or an error."""
+    candidates, *others = _entities(spark, sf)
+    snapshots = {"security_master": 3, "price_bar": 4}
+    _, missing = C.current_cycle_inputs("CYCLE_20240131", "sel-1", candidates, *others, snapshots)
+    complete = candidates.join(missing.select("candidate_id"), "candidate_id", "left_anti")
+    inputs = C.all_or_error(*C.current_cycle_inputs("CYCLE_20240131", "sel-1", complete, *others, snapshots))
+    return portable(inputs.select("candidate_id", "entity_id", "close", "market"))
+
+
 @query(
     "entity_missing",
     _ENTITY_SQL + """
@@ -299,7 +333,8 @@ def entity_missing(spark, sf):
 def entity_alias_lookup(spark, sf):
     _, entities, aliases, _, _ = _entities(spark, sf)
     older = aliases.select("alias", F.lit("n0").alias("canonical_entity_id"), F.lit(1).alias("created_at"))
-    return C.existing_entities(C.alias_entities(aliases.union(older)), entities, "canonical_entity_id")
+    trimmed = entities.select(F.trim("canonical_entity_id").alias("canonical_entity_id"))
+    return C.existing_entities(C.alias_entities(aliases.union(older)), trimmed, "canonical_entity_id")
 
 
 # --------------------------------------------------------------- manifests
@@ -352,11 +387,14 @@ def manifest_latest(spark, sf):
     "manifest_by_snapshot",
     _MANIFEST_SQL + """
     select tab as table_name, snap as snapshot_id, arg_max(cycle, pub) as published_cycle_id from m
-    where tab = 'formal.2-HIGH' and snap = 7 group by all
+    where tab = 'formal.2-HIGH' and snap = (select min(snap) from m where tab = 'formal.2-HIGH') group by all
     """,
 )
 def manifest_by_snapshot(spark, sf):
-    return P.by_snapshot(_manifests(spark, sf), "formal.2-HIGH", 7).select("table_name", "snapshot_id", "published_cycle_id")
+    """The cycle that published the smallest snapshot id of a table last."""
+    rows = _manifests(spark, sf)
+    least = P.published_tables(rows).where("table_name = 'formal.2-HIGH'").agg(F.min("snapshot_id")).first()[0]
+    return P.by_snapshot(rows, "formal.2-HIGH", least).select("table_name", "snapshot_id", "published_cycle_id")
 
 
 @query(

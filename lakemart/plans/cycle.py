@@ -145,8 +145,9 @@ def readiness(symbols: DataFrame, calendar: DataFrame, daily: DataFrame, basics:
 
 
 def alias_entities(aliases: DataFrame) -> DataFrame:
-    """alias -> entity id; of several rows for one alias the newest wins."""
-    filled = aliases.where(S.clean_text("alias").isNotNull() & S.clean_text("canonical_entity_id").isNotNull())
+    """alias -> entity id, both trimmed; of several rows for one alias the newest wins."""
+    trimmed = aliases.withColumns({c: S.clean_text(c) for c in ("alias", "canonical_entity_id")})
+    filled = trimmed.dropna(subset=["alias", "canonical_entity_id"])
     newest = latest_per_key(filled, ["alias"], newest_first("created_at", "canonical_entity_id"))
     return newest.select("alias", "canonical_entity_id")
 
@@ -161,24 +162,24 @@ def resolve_candidates(
 ) -> DataFrame:
     """Each candidate's entity and the alias its rows are read by.
 
-    A candidate is an entity id or an alias of a known entity.  Its own id is preferred
-    when ``available`` (aliases that have both a security and a price row) contains it,
-    else the smallest available alias of the entity.  That alias is found once per
+    A candidate is an entity id or an alias of a known entity; all ids and aliases are compared trimmed.
+    Its own id is preferred, entity id or not, when ``available`` (aliases that have both a security and a
+    price row) contains it, else the smallest available alias of the entity.  That alias is found once per
     entity by aggregation, so an entity with very many aliases costs one row, not one
     per candidate.  ``reason`` says why a candidate could not be resolved.
     """
-    pairs = aliases.select("alias", "canonical_entity_id").distinct()
-    usable = available.select(F.col("alias").alias("_usable")).distinct()
+    pairs = aliases.select(S.clean_text("alias").alias("alias"), S.clean_text("canonical_entity_id").alias("canonical_entity_id")).distinct()
+    usable = available.select(S.clean_text("alias").alias("_usable")).distinct()
     best = (
         pairs.join(usable, pairs["alias"] == usable["_usable"], "left")
         .groupBy(F.col("canonical_entity_id").alias("_best_entity"))
         .agg(F.min("_usable").alias("_best_alias"))
     )
     owner = alias_entities(aliases).select(F.col("alias").alias("_owned"), F.col("canonical_entity_id").alias("_owner"))
-    known = entities.select(F.col("canonical_entity_id").alias("_known")).distinct()
+    known = entities.select(S.clean_text("canonical_entity_id").alias("_known")).distinct()
     known_owner = known.withColumnRenamed("_known", "_known_owner")
 
-    rows = candidates.select("candidate_id").distinct()
+    rows = candidates.select(F.trim(F.col("candidate_id").cast("string")).alias("candidate_id")).distinct()
     rows = rows.join(known, rows["candidate_id"] == known["_known"], "left")
     rows = rows.join(owner, rows["candidate_id"] == owner["_owned"], "left")
     rows = rows.join(known_owner, rows["_owner"] == known_owner["_known_owner"], "left")
@@ -186,13 +187,13 @@ def resolve_candidates(
     rows = rows.join(best, rows["entity_id"] == best["_best_entity"], "left")
     own = usable.withColumnRenamed("_usable", "_own")
     rows = rows.join(own, rows["candidate_id"] == own["_own"], "left")
-    itself = F.when(F.col("_known").isNull(), F.col("_own"))
+    itself = F.col("_own")
     return rows.select(
         "candidate_id",
         "entity_id",
         F.when(F.col("entity_id").isNotNull(), F.coalesce(itself, F.col("_best_alias"))).alias("alias"),
         F.when(F.col("entity_id").isNull(), F.lit("canonical_entity_missing"))
-        .when(F.col("_known").isNotNull() & F.col("_best_entity").isNull(), F.lit("canonical_entity_alias_missing"))
+        .when(itself.isNull() & F.col("_known").isNotNull() & F.col("_best_entity").isNull(), F.lit("canonical_entity_alias_missing"))
         .when(F.coalesce(itself, F.col("_best_alias")).isNull(), F.lit("canonical_candidate_rows_missing"))
         .alias("reason"),
     )
@@ -212,7 +213,7 @@ def current_cycle_inputs(
 ) -> tuple[DataFrame, DataFrame]:
     """(input rows, unresolved candidates) of one frozen cycle.
 
-    Callers publish the rows only when the second table is empty.
+    ``all_or_error`` gives the rows of a complete cycle or an error.
     """
     if not selection_ref.strip():
         raise ValueError("selection_ref must be a non-empty string")
@@ -249,3 +250,26 @@ def current_cycle_inputs(
         ).alias("lineage_refs"),
     )
     return inputs, resolved.where(F.col("reason").isNotNull())
+
+
+def all_or_error(inputs: DataFrame, missing: DataFrame) -> DataFrame:
+    """``inputs`` if ``missing`` is empty; otherwise every use of the result ends with an error that counts and names them.
+
+    The check is part of the plan: each row carries an error expression over the number of missing candidates, a
+    subquery that runs once before the rows do, and one more row, which exists only where something is missing, holds
+    the same error for the case that no input row is left to carry it.
+    """
+    lost = missing.agg(F.count("*").alias("n"), F.min(F.struct("candidate_id", "reason")).alias("first"))
+    message = F.concat(
+        F.lit("current-cycle inputs are incomplete: "), F.col("n").cast("string"), F.lit(" candidates cannot be resolved, first "),
+        F.col("first.candidate_id"), F.lit(" ("), F.col("first.reason"), F.lit(")"),
+    )
+    text = lost.select(F.when(F.col("n") > 0, message).alias("text"))
+    name = inputs.columns[0]
+    kind = inputs.schema[name].dataType
+    told = text.scalar()
+    checked = inputs.withColumn(name, F.when(told.isNotNull(), F.raise_error(told).cast(kind)).otherwise(F.col(name)))
+    alarm = text.where(F.col("text").isNotNull()).select(
+        *[(F.raise_error(F.col("text")) if c == name else F.lit(None)).cast(inputs.schema[c].dataType).alias(c) for c in inputs.columns]
+    )
+    return checked.unionByName(alarm)

@@ -3,9 +3,11 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemart.plans import cycle as C
 from lakemart.plans import queue as K
 from lakemart.streaming import queue_stream as Q
 
@@ -138,3 +140,37 @@ def test_late_rows_correct_their_window_and_are_listed(spark, rows):
     late = Q.late_rows(spark, root, timed.schema).orderBy("id").collect()
     assert [(r["id"], r["batch_id"]) for r in late] == [(3, 1), (4, 1), (6, 1), (7, 2)]
     assert [r["watermark"] for r in late] == [at(12, 2)] * 3 + [at(12, 3)]
+
+
+def cycle_tables(frame, *candidates):
+    """Candidates against two entities: E1 with aliases a1, a2 and E2, which is also the name of a security; a3 has no entity."""
+    entities = frame("canonical_entity_id string", (" E1 ",), ("E2",), ("E3",))
+    aliases = frame("alias string, canonical_entity_id string, created_at int", (" a2 ", "E1", 1), ("a1", " E1", 1), ("a0", "E2", 1), ("a3", "gone", 1))
+    names = ("a1", "a2 ", "a0", "E2", "a3")
+    securities = frame("security_id string, market string, industry string", *[(n, f"m{n.strip()}", " ") for n in names])
+    bars = frame(
+        "security_id string, trade_date date, freq string, close double, pre_close double, pct_chg double, vol double, amount double",
+        *[(n, datetime(2026, 4, 15).date(), " Daily", 2.0, 1.0, None, None, None) for n in names],
+    )
+    given = frame("candidate_id string", *[(c,) for c in candidates])
+    return C.current_cycle_inputs("CYCLE_20260415", "sel", given, entities, aliases, securities, bars, {"security_master": 1})
+
+
+def test_candidates_resolve_by_trimmed_names_and_their_own_id_first(frame, rows):
+    inputs, missing = cycle_tables(frame, "a2", " E1", "E2", "a0", "E3", "a3", "x")
+    # E2 is an entity id and a traded name of its own; E1 is read by its smallest alias.
+    assert rows(inputs, "candidate_id", "entity_id", "market") == [
+        ("E1", "E1", "ma1"), ("E2", "E2", "mE2"), ("a0", "E2", "ma0"), ("a2", "E1", "ma2")
+    ]
+    assert rows(missing, "candidate_id", "reason") == [
+        ("E3", "canonical_entity_alias_missing"), ("a3", "canonical_entity_missing"), ("x", "canonical_entity_missing")
+    ]
+
+
+def test_all_inputs_or_an_error(frame, rows):
+    assert rows(C.all_or_error(*cycle_tables(frame, "a2", "E1")), "candidate_id") == [("E1",), ("a2",)]
+    for candidates in (("a2", "E1", "E3", "x"), ("x", "E3")):  # the second has no row at all
+        strict = C.all_or_error(*cycle_tables(frame, *candidates))
+        for use in (strict.collect, strict.count, lambda s=strict: s.write.format("noop").mode("overwrite").save()):
+            with pytest.raises(Exception, match=r"2 candidates cannot be resolved, first E3"):
+                use()
