@@ -255,9 +255,9 @@ def current_cycle_inputs(
 def all_or_error(inputs: DataFrame, missing: DataFrame) -> DataFrame:
     """``inputs`` if ``missing`` is empty; otherwise every use of the result ends with an error that counts and names them.
 
-    The check is part of the plan: each row carries an error expression over the number of missing candidates, a
-    subquery that runs once before the rows do, and one more row, which exists only where something is missing, holds
-    the same error for the case that no input row is left to carry it.
+    The check is part of the plan, as a condition on the rows, so that no use of the result can leave it out: rows pass
+    a condition over the number of missing candidates, a subquery that runs once before them, and one more row,
+    which exists only where something is missing, meets the same error if no input row is there to meet it.
     """
     lost = missing.agg(F.count("*").alias("n"), F.min(F.struct("candidate_id", "reason")).alias("first"))
     message = F.concat(
@@ -265,11 +265,9 @@ def all_or_error(inputs: DataFrame, missing: DataFrame) -> DataFrame:
         F.col("first.candidate_id"), F.lit(" ("), F.col("first.reason"), F.lit(")"),
     )
     text = lost.select(F.when(F.col("n") > 0, message).alias("text"))
-    name = inputs.columns[0]
-    kind = inputs.schema[name].dataType
-    told = text.scalar()
-    checked = inputs.withColumn(name, F.when(told.isNotNull(), F.raise_error(told).cast(kind)).otherwise(F.col(name)))
-    alarm = text.where(F.col("text").isNotNull()).select(
-        *[(F.raise_error(F.col("text")) if c == name else F.lit(None)).cast(inputs.schema[c].dataType).alias(c) for c in inputs.columns]
-    )
-    return checked.unionByName(alarm)
+
+    def complete(told, otherwise: bool):
+        return F.when(told.isNotNull(), F.raise_error(told).cast("boolean")).otherwise(F.lit(otherwise))
+
+    alarm = text.where(complete(F.col("text"), False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in inputs.schema])
+    return inputs.where(complete(text.scalar(), True)).unionByName(alarm)

@@ -16,6 +16,7 @@ from lakemart.functions import scalar as S
 from lakemart.operators.joins import interval_pairs, spine_join, without_matches
 from lakemart.operators.ordering import latest_per_key, newest_first
 from lakemart.plans import schemas
+from lakemart.session import materialize
 
 Staging = Mapping[str, DataFrame]
 
@@ -243,8 +244,8 @@ def index_membership(stg: Staging) -> DataFrame:
         F.col("source_run_id").alias("index_weight_source_run_id"),
         F.col("raw_loaded_at").alias("index_weight_raw_loaded_at"),
     )
-    # Matched pairs and unmatched weights in one left join; then members nobody matched.
-    weighted = interval_pairs(weights, members, keys, "trade_date", "valid_from", "valid_to", "left")
+    # Matched pairs and unmatched weights in one left join, executed once; then members nobody matched.
+    weighted = materialize(interval_pairs(weights, members, keys, "trade_date", "valid_from", "valid_to", "left"))
     idle = without_matches(members, weighted.where(F.col("valid_from").isNotNull()), [*keys, "valid_from", "valid_to"])
     combined = weighted.unionByName(idle, allowMissingColumns=True).withColumns(
         {

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,9 +60,25 @@ def shared_folder(spark: SparkSession) -> str:
     return os.path.abspath(local)
 
 
+_recording: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders that ``written`` makes inside the block, for a caller who knows when they are read no more."""
+    folders: list[str] = []
+    _recording.append(folders)
+    try:
+        yield folders
+    finally:
+        _recording.remove(folders)
+
+
 def written(df: DataFrame) -> tuple[DataFrame, str]:
     """``df`` written once under a new name in the shared folder, read from there, and the folder it lies in."""
     path = f"{shared_folder(df.sparkSession)}/lakemart-tables/{uuid.uuid4().hex}"
+    for folders in _recording:
+        folders.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
