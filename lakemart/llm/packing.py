@@ -10,13 +10,12 @@ to fill it, so at most one window a task, its last, is not full.
 
 from __future__ import annotations
 
-import zlib
 from collections import deque
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +24,14 @@ from lakemart.llm.common import text_or_empty
 
 #: Pieces a task pools before it fills windows; bounds memory at POOL * window ids.
 POOL = 4096
-#: White-space-free words whose ids a worker remembers; bounds memory, not the result.
-REMEMBERED_WORDS = 600_000
+#: Bytes of words and ids in each of the two generations a worker remembers; bounds memory, not the result.
+REMEMBERED_BYTES = 40 << 20
+#: Longer words are encoded each time.
+REMEMBERED_LENGTH = 64
+#: What the tables around a remembered word take.
+ENTRY_BYTES = 200
+#: Documents tokenised together.
+AT_ONCE = 256
 
 
 def fill(counts: np.ndarray, room: int) -> list[tuple[int, int]]:
@@ -63,27 +68,41 @@ class WordIds:
     """Ids of whole texts by the given tokenizer, with a memory of white-space-free words.
 
     The tokenizer splits at white space before anything else, so a text's ids are those of its words
-    in order.  Only words it has not met are encoded.
+    in order.  Only words it has not met are encoded.  Ids are kept as the bytes they are returned in.  When
+    the younger generation is full it becomes the older one, whose words come back when they are met again, so
+    frequent words stay while rare ones go.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, tuple[int, ...]] = {"": ()}
+        self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
+
+    def keep(self, word: str, ids: bytes) -> None:
+        self.known[word] = ids
+        self.held += len(word) + len(ids) + ENTRY_BYTES
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set(chain.from_iterable(split)).difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED_WORDS:
-            self.known = {"": ()}
-            new = list(set(chain.from_iterable(split)) - {""})
-        for start in range(0, len(new), 20_000):
-            some = new[start : start + 20_000]
+        if self.held > REMEMBERED_BYTES:
+            self.older, self.known, self.held = self.known, {"": b""}, 0
+        met = set(chain.from_iterable(split)).difference(self.known)
+        for word in met.intersection(self.older):
+            self.keep(word, self.older[word])
+        new = list(met.difference(self.known))
+        for start in range(0, len(new), 4096):
+            some = new[start : start + 4096]
             for word, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[word] = tuple(got.ids)
+                self.keep(word, np.array(got.ids, "<u4").tobytes())
         look = self.known.__getitem__
-        return [np.fromiter(chain.from_iterable(map(look, words)), np.uint32) for words in split]
+        out = [np.frombuffer(b"".join(map(look, words)), "<u4") for words in split]
+        for word in new:
+            if len(word) > REMEMBERED_LENGTH:
+                self.held -= len(word) + len(self.known.pop(word)) + ENTRY_BYTES
+        return out
 
 
 _tokenizers: dict[str, WordIds] = {}
@@ -153,36 +172,36 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1) -
     Every row of ``docs`` (doc_id, text, ...) is tokenised and ended with ``end_id``; its ids lie in
     pieces that do not overlap, and the pieces of a sequence follow each other from offset 0.  NULL
     or empty text is the end id alone.  Rows that repeat a doc_id are packed each.  sequence_id is
-    unique, not gapless: the task's number in its high bits.
+    unique, not gapless: the task's number in its high bits.  Whole texts are tokenised, however long.
     """
 
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(tokenizer)
         packer = Packer(window)
         base = TaskContext.get().partitionId() << 33
 
-        def rows() -> pd.DataFrame:
-            frame = pd.DataFrame(
-                [(d, s, i.tobytes(), len(i), n, base + q, o) for d, s, i, n, q, o in packer.rows],
-                columns=["doc_id", "start", "ids", "length", "doc_tokens", "sequence_id", "offset"],
-            ).astype({"doc_id": "Int64"})
+        def rows() -> pa.RecordBatch:
+            made = [(d, s, i.tobytes(), len(i), n, base + q, o) for d, s, i, n, q, o in packer.rows]
             packer.rows = []
-            return frame
+            columns = zip(*made, strict=True) if made else [()] * len(PIECE)
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, PIECE.types, strict=True)], schema=PIECE)
 
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.iloc[at : at + 512]
-                for doc_id, ids in zip(part["doc_id"], encoder.encode(list(part["text"])), strict=True):
-                    packer.add(None if pd.isna(doc_id) else int(doc_id), np.append(ids, np.uint32(end_id)))
+            for at in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(at, AT_ONCE)
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True):
+                    packer.add(doc_id, np.append(ids, np.uint32(end_id)))
                 yield rows()
         packer.finish()
         yield rows()
 
-    return docs.select(F.col("doc_id").cast("long"), text_or_empty()).mapInPandas(
+    return docs.select(F.col("doc_id").cast("long"), text_or_empty()).mapInArrow(
         packed,
         "doc_id long, start long, ids binary, length long, doc_tokens long, sequence_id long, offset long",
     )
 
 
-def crc32_of(ids: bytes) -> int:
-    return zlib.crc32(ids)
+#: The rows of ``pack``.
+PIECE = pa.schema(
+    [(n, pa.binary() if n == "ids" else pa.int64()) for n in ("doc_id", "start", "ids", "length", "doc_tokens", "sequence_id", "offset")]
+)

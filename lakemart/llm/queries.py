@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,15 +41,8 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch["ids_crc32"] = [packing.crc32_of(ids) for ids in batch["ids"]]
-            yield batch.drop(columns="ids")
-
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).mapInPandas(
-        digest,
-        "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids_crc32 long",
-    )
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select(*[c for c in pieces.columns if c != "ids"], F.crc32("ids").alias("ids_crc32"))
 
 
 def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
