@@ -177,7 +177,7 @@ def cycle_transitions(spark, sf):
     for kind, name in names.items():
         status = F.when(F.col("event_type") == kind, name).otherwise(status)
     history = table(spark, sf, "events").select("user_id", "event_id", status.alias("status"))
-    return C.illegal_transitions(history, "user_id", "status", "event_id")
+    return C.illegal_transitions(history, "user_id", "status", "event_id", F.floor(F.col("event_id") / 4096))
 
 
 _CURRENT_SQL = """
@@ -462,7 +462,7 @@ def backfill_gaps(spark, sf):
     """,
 )
 def backfill_limit(spark, sf):
-    return B.plan_limit(_plan(spark, sf))
+    return B.plan_limit(_plan(spark, sf), 5000)
 
 
 @query(

@@ -15,6 +15,7 @@ from lakemart.plans import derivations as D
 from lakemart.plans import intermediate as I
 from lakemart.plans import marts as M
 from lakemart.plans import schemas
+from lakemart.session import materialize
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -421,7 +422,8 @@ _SIX = "decimal(28,6)"
 
 
 def _positions(spark, sf) -> tuple[DataFrame, DataFrame]:
-    return M.mart_pair("fact_holding_position", StagedFeeds(spark, sf))
+    """Holding positions and their lineage, both read from one written table."""
+    return M.fact_holding_position(materialize(M.holding_positions(StagedFeeds(spark, sf))))
 
 
 @query(

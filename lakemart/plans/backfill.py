@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import scalar as S
 
-# Last day the daily northbound holding feed was published, the length
-# of the bounded window, and the default size limit of a plan.
+# Last day the daily northbound holding feed was published, and the length
+# of the bounded window.
 NORTHBOUND_LAST_DATE = date(2024, 8, 20)
 WINDOW_MONTHS = 120
-MAX_PLAN_ITEMS = 5_000
 
 STOCK_DATASETS = ("top10_holders", "top10_floatholders")
 FUND_DATASETS = ("fund_portfolio",)
@@ -80,7 +79,7 @@ def plan_items(
     rows = codes.select(F.col(code).alias("code")).distinct().select("code", F.explode(calendar).alias("partition_date"))
     if variants:
         rows = rows.withColumn(variant_name or "variant", F.explode(F.array(*[F.lit(v) for v in variants])))
-    late = F.lit(dataset == NORTHBOUND_DATASET) & (F.col("partition_date") > F.lit(cutoff))
+    late = discontinued(F.lit(dataset), F.col("partition_date"), cutoff)
     bad_code = F.col("code").isNull() | (F.trim("code") == "")
     return rows.select(
         F.lit(dataset).alias("dataset"),
@@ -90,7 +89,7 @@ def plan_items(
     )
 
 
-def plan_limit(plan: DataFrame, limit: int = MAX_PLAN_ITEMS) -> DataFrame:
+def plan_limit(plan: DataFrame, limit: int) -> DataFrame:
     """One rejection row when the planned items exceed the limit, else none."""
     return (
         plan.where(F.col("status") == "planned")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.functions import scalar as S
@@ -23,14 +23,13 @@ def allowed_steps() -> list[str]:
     return steps + [f"{a}>{FAILED}" for a in STATUS_ORDER[:-1]]
 
 
-def illegal_transitions(history: DataFrame, cycle: str, status: str, order: str) -> DataFrame:
+def illegal_transitions(history: DataFrame, cycle: str, status: str, order: str, stretch: Column | None = None) -> DataFrame:
     """History rows whose step from the cycle's previous status is not allowed.
 
-    The first status of a cycle must be pending.  A cycle's history holds one row per
-    status change.
+    The first status of a cycle must be pending.  ``stretch``, which must not fall where ``order`` rises, cuts a
+    long history into stretches that are stepped through in separate tasks.
     """
-    previous = F.lag(status).over(Window.partitionBy(cycle).orderBy(F.col(order).asc_nulls_last()))
-    stepped = history.withColumn("previous_status", previous)
+    stepped = with_previous_status(history, cycle, status, order, stretch)
     step = F.concat_ws(">", "previous_status", status)
     fine = F.when(F.col("previous_status").isNull(), F.col(status) == STATUS_ORDER[0]).otherwise(
         step.isin(allowed_steps())
@@ -38,6 +37,27 @@ def illegal_transitions(history: DataFrame, cycle: str, status: str, order: str)
     return stepped.where(~F.coalesce(fine, F.lit(False)))
 
 
+def with_previous_status(history: DataFrame, cycle: str, status: str, order: str, stretch: Column | None = None) -> DataFrame:
+    """Adds ``previous_status``, by ``order``, NULL last.
+
+    With ``stretch`` a row looks back inside its stretch; the first row of each takes the last status of the stretch
+    before, which a second window finds over one row per cycle and stretch.
+    """
+    by = F.col(order).asc_nulls_last()
+    if stretch is None:
+        return history.withColumn("previous_status", F.lag(status).over(Window.partitionBy(cycle).orderBy(by)))
+    cut = history.withColumn("_stretch", stretch)
+    inside = Window.partitionBy(cycle, "_stretch").orderBy(by)
+    near = cut.withColumns({"_before": F.lag(status).over(inside), "_first": F.row_number().over(inside) == 1})
+    newest = F.max(F.struct(F.col(order).isNull().alias("n"), F.col(order).alias("o"), F.col(status).alias("s")))
+    lasts = cut.groupBy(F.col(cycle).alias("_c"), F.col("_stretch").alias("_t")).agg(newest["s"].alias("_last"))
+    along = Window.partitionBy("_c").orderBy(F.col("_t").asc_nulls_last())
+    carried = lasts.select("_c", "_t", F.lag("_last").over(along).alias("_carried"))
+    joined = near.join(carried, near[cycle].eqNullSafe(carried["_c"]) & near["_stretch"].eqNullSafe(carried["_t"]), "left")
+    previous = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_before"))
+    return joined.withColumn("previous_status", previous).select(*history.columns, "previous_status")
+
+
 def recent_cycles(cycles: DataFrame, limit: int = 50, status: str | None = None) -> DataFrame:
     if limit < 1:
         raise ValueError(f"limit must be at least 1: {limit!r}")

@@ -26,6 +26,7 @@ from lakemart.operators import quality as Q
 from lakemart.operators.shaping import align, union_by_name
 from lakemart.plans import schemas
 from lakemart.plans.staging import latest_artifacts
+from lakemart.session import remove
 
 ARTIFACT_SCHEMA = T.StructType(
     [
@@ -82,8 +83,29 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """Every landed artifact; empty before the first one."""
-    return read_or_empty(spark, manifest_path(root), ARTIFACT_SCHEMA).select(*ARTIFACT_SCHEMA.fieldNames())
+    """Every landed artifact; empty before the first one.
+
+    Rows that are equal in all fields are one entry: ``compact_manifest`` writes before it deletes.
+    """
+    rows = read_or_empty(spark, manifest_path(root), ARTIFACT_SCHEMA).select(*ARTIFACT_SCHEMA.fieldNames())
+    plain = [c for c in ARTIFACT_SCHEMA.fieldNames() if c != "metadata"]
+    # Maps cannot be compared, so equal rows are told by the text of theirs.
+    return rows.withColumn("_m", F.to_json("metadata")).dropDuplicates([*plain, "_m"]).select(*ARTIFACT_SCHEMA.fieldNames())
+
+
+def compact_manifest(spark: SparkSession, root: str) -> int:
+    """Rewrites the manifest as one file a dataset; returns how many files went.
+
+    The new files are written before the old ones are deleted, one by one, so a run that stops anywhere leaves
+    every entry readable, some of them twice, which ``artifacts`` sees as one.  Landings may go on meanwhile: what they
+    append is not among the files deleted.
+    """
+    old = read_or_empty(spark, manifest_path(root), ARTIFACT_SCHEMA).inputFiles()
+    if len(old) > 1:
+        _enter(artifacts(spark, root), root)
+        for file in old:
+            remove(spark, file)
+    return len(old) if len(old) > 1 else 0
 
 
 def list_artifacts(

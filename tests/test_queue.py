@@ -174,3 +174,11 @@ def test_all_inputs_or_an_error(frame, rows):
         for use in (strict.collect, strict.count, lambda s=strict: s.write.format("noop").mode("overwrite").save()):
             with pytest.raises(Exception, match=r"2 candidates cannot be resolved, first E3"):
                 use()
+
+
+def test_a_history_in_stretches_steps_as_a_whole_one(frame, rows):
+    names = ["pending", "phase0", "phase1", "failed", None]
+    history = frame("c string, s string, o int", *[("ab"[i % 7 == 0], names[(i * i) % 5], None if i == 90 else i * 3) for i in range(91)], (None, "pending", 1), (None, "phase1", 2))
+    for width in (1, 10, 1000):
+        cut = C.illegal_transitions(history, "c", "s", "o", F.floor(F.col("o") / width))
+        assert rows(cut) == rows(C.illegal_transitions(history, "c", "s", "o"))

@@ -178,6 +178,20 @@ def test_health_report_names_each_kind_of_damage(spark, zone):
     assert codes == {"no_such_artifact", "not_in_manifest", "run_id_repeated", "row_count_differs"}
 
 
+def test_a_compacted_manifest_tells_the_same(spark, zone, rows):
+    for i in range(4):
+        land(spark, zone, "adj_factor" if i % 2 else "daily", date(2026, 4, 15), f"r{i}", datetime(2026, 4, 15, i), {"ts_code": "a"})
+    columns = [c for c in R.ARTIFACT_SCHEMA.fieldNames() if c != "metadata"]
+    before = rows(R.artifacts(spark, zone), *columns)
+    # A run that stops before it deletes leaves entries twice on disk and once in what is read.
+    R._enter(R.artifacts(spark, zone), zone)
+    assert rows(R.artifacts(spark, zone), *columns) == before
+    assert R.compact_manifest(spark, zone) == 6
+    assert len(R.artifacts(spark, zone).inputFiles()) == 2 and R.compact_manifest(spark, zone) == 2
+    assert rows(R.artifacts(spark, zone), *columns) == before
+    assert staged(spark, zone, "daily").count() == 1 and H.health_report(spark, zone, deep=True).isEmpty()
+
+
 def older_zone(spark, root):
     """Single-file artifacts and a JSON manifest a day; each day but the first has one fault. Returns {day: codes}."""
     import gzip
