@@ -117,6 +117,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = rf"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+#: Sets of shingles compared by a join on equal shingles, and the smallest id reached over links.
+NEARDUP_SQL = rf"""
+with recursive w as (select doc_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+  select distinct doc_id, case when len(w) >= 5 then w[i:i + 4] else w end as shingle
+  from w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as p(i) where len(w) > 0
+),
+n as (select doc_id, count(*) as n from s group by doc_id),
+shared as (select l.doc_id as a, r.doc_id as b, count(*) as c from s l join s r on l.shingle = r.shingle and l.doc_id < r.doc_id group by all),
+links as (
+  select a, b from shared join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * c >= 85 * (na.n + nb.n - c)
+),
+edges as (select a, b from links union all select b, a from links),
+reached as (
+  select doc_id, doc_id as least from documents
+  union
+  select b, least from reached join edges on a = doc_id where least < b
+)
+select documents.doc_id, coalesce(n, 0) as n_shingles, component_id, documents.doc_id = component_id as kept
+from documents left join n using (doc_id) join (select doc_id, min(least) as component_id from reached group by doc_id) using (doc_id)
+"""
+
 RANKED_SEARCH_SQL = f"""
 with words as (select doc_id, unnest({_WORDS}) as term from documents),
 tf as (select doc_id, term, count(*) as tf from words group by all),
@@ -213,6 +235,7 @@ from coded join kept using (vec_id) cross join digest
 
 #: The other methods' own columns (scores, pieces, fingerprints) have no SQL; tests compare them with brute force.
 ORACLES: dict[str, str] = {
+    "op9_neardup": NEARDUP_SQL,
     "op11_ranked_search": RANKED_SEARCH_SQL,
     "op12_decontamination": DECONTAMINATION_SQL,
     "op13_vector_codes": vector_codes_sql(),
