@@ -139,6 +139,37 @@ select documents.doc_id, coalesce(n, 0) as n_shingles, component_id, documents.d
 from documents left join n using (doc_id) join (select doc_id, min(least) as component_id from reached group by doc_id) using (doc_id)
 """
 
+#: A source is full if the level reached with all tighter ones full lies above its cap; the others share the rest by weight.
+MIXING_SQL = r"""
+with d as (
+  select doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size, source, md5('mix:' || doc_id) as place from documents
+),
+s as (
+  select source, sum(size) as words, [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3)::int + 1] as weight from d group by source
+),
+r as (
+  select *, 1.5 * sum(words) over () as rest, sum(weight) over () as weights,
+    coalesce(sum(2 * words) over tight, 0) as caps_before, coalesce(sum(weight) over tight, 0) as weights_before
+  from s window tight as (order by 2 * words / weight, source rows between unbounded preceding and 1 preceding)
+),
+f as (select *, (rest - caps_before) / (weights - weights_before) * weight > 2 * words as is_full from r),
+t as (
+  select source, words, case when is_full then 2.0 * words
+    else (rest - sum(case when is_full then 2 * words else 0 end) over ()) / sum(case when is_full then 0 else weight end) over () * weight end as target
+  from f
+),
+q as (select *, least(floor(target + 0.5)::bigint, (2 * words)::bigint) as quota from t),
+o as (
+  select *, coalesce(sum(size) over (
+    partition by source order by ('0x' || substr(place, 1, 6))::bigint % 4096, place, doc_id, size rows between unbounded preceding and 1 preceding), 0) as ahead
+  from d
+)
+select doc_id, size, words::bigint as source_size, target::double as target,
+  case when words = 0 then 0
+    else ((quota // words) * size + greatest(0, least(quota % words - ahead, size)))::bigint end as taken
+from o join q on o.source is not distinct from q.source
+"""
+
 RANKED_SEARCH_SQL = f"""
 with words as (select doc_id, unnest({_WORDS}) as term from documents),
 tf as (select doc_id, term, count(*) as tf from words group by all),
@@ -236,6 +267,7 @@ from coded join kept using (vec_id) cross join digest
 #: The other methods' own columns (scores, pieces, fingerprints) have no SQL; tests compare them with brute force.
 ORACLES: dict[str, str] = {
     "op9_neardup": NEARDUP_SQL,
+    "op10_mixing": MIXING_SQL,
     "op11_ranked_search": RANKED_SEARCH_SQL,
     "op12_decontamination": DECONTAMINATION_SQL,
     "op13_vector_codes": vector_codes_sql(),
