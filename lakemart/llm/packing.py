@@ -30,6 +30,10 @@ REMEMBERED_BYTES = 40 << 20
 REMEMBERED_LENGTH = 64
 #: What the tables around a remembered word take.
 ENTRY_BYTES = 200
+#: Stands between words that are encoded together.  Alone between blanks it is one token, which no word without it contains.
+BETWEEN = "~"
+#: Words encoded as one text.
+JOINED = 256
 #: Documents tokenised together.
 AT_ONCE = 256
 
@@ -77,10 +81,28 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        (self.between,) = self.ids(BETWEEN)
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
         self.held = 0
 
+    def ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def learn(self, words: list[str]) -> None:
+        """Encodes words that do not hold ``BETWEEN`` many at a time and cuts the ids at its token."""
+        groups = [words[at : at + JOINED] for at in range(0, len(words), JOINED)]
+        for start in range(0, len(groups), 16):
+            some = groups[start : start + 16]
+            got = self.tokenizer.encode_batch_fast([f" {BETWEEN} ".join(g) for g in some], add_special_tokens=False)
+            for group, encoding in zip(some, got, strict=True):
+                ids = np.array(encoding.ids, "<u4")
+                ends = np.append(np.flatnonzero(ids == self.between), len(ids)) * 4
+                data, at = ids.tobytes(), 0
+                for word, end in zip(group, ends.tolist(), strict=True):
+                    self.keep(word, data[at:end])
+                    at = end + 4
+
     def keep(self, word: str, ids: bytes) -> None:
         self.known[word] = ids
         self.held += len(word) + len(ids) + ENTRY_BYTES
@@ -93,10 +115,10 @@ class WordIds:
         for word in met.intersection(self.older):
             self.keep(word, self.older[word])
         new = list(met.difference(self.known))
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            for word, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.keep(word, np.array(got.ids, "<u4").tobytes())
+        self.learn([w for w in new if BETWEEN not in w])
+        for word in new:
+            if BETWEEN in word:
+                self.keep(word, np.array(self.ids(word), "<u4").tobytes())
         look = self.known.__getitem__
         out = [np.frombuffer(b"".join(map(look, words)), "<u4") for words in split]
         for word in new:
