@@ -10,6 +10,7 @@ to fill it, so at most one window a task, its last, is not full.
 
 from __future__ import annotations
 
+import os
 from collections import deque
 from collections.abc import Iterator
 from itertools import chain
@@ -35,7 +36,7 @@ BETWEEN = "~"
 #: Words encoded as one text.
 JOINED = 256
 #: Documents tokenised together.
-AT_ONCE = 256
+AT_ONCE = 512
 
 
 def fill(counts: np.ndarray, room: int) -> list[tuple[int, int]]:
@@ -78,6 +79,8 @@ class WordIds:
     """
 
     def __init__(self, path: str):
+        # A task has one core; threads of the tokenizer's own would only wait for it.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -97,11 +100,11 @@ class WordIds:
             got = self.tokenizer.encode_batch_fast([f" {BETWEEN} ".join(g) for g in some], add_special_tokens=False)
             for group, encoding in zip(some, got, strict=True):
                 ids = np.array(encoding.ids, "<u4")
-                ends = np.append(np.flatnonzero(ids == self.between), len(ids)) * 4
-                data, at = ids.tobytes(), 0
-                for word, end in zip(group, ends.tolist(), strict=True):
-                    self.keep(word, data[at:end])
-                    at = end + 4
+                ends = (np.append(np.flatnonzero(ids == self.between), len(ids)) * 4).tolist()
+                data = ids.tobytes()
+                cut = map(slice, [0, *[end + 4 for end in ends[:-1]]], ends)
+                self.known.update(zip(group, map(data.__getitem__, cut), strict=True))
+                self.held += len(data) + sum(map(len, group)) + ENTRY_BYTES * len(group)
 
     def keep(self, word: str, ids: bytes) -> None:
         self.known[word] = ids
