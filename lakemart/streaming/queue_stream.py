@@ -7,14 +7,11 @@ failure replaces itself; readers take the union of the folders.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lakemart.plans.queue import IDEMPOTENCY_KEY, QUEUE_SCHEMA, validate, validation_counts, with_idempotency_key
 from lakemart.session import shared_folder
@@ -82,72 +79,23 @@ def validate_stream(candidates: DataFrame, root: str) -> StreamingQuery:
 
 # --------------------------------------------------------------- idempotent submission
 # The state store holds one small row per delta key, the submission that came first, dealt
-# to its partitions by key.  A batch looks up its own keys there and reads no earlier output.
-# Keys are never forgotten, so the store grows with the distinct deltas; with the session's
-# RocksDB provider it lies on disk, and its changes in the checkpoint folder.
+# to its partitions by key.  It is the state of a streaming minimum over the time of the batch and
+# the order within it, so no Python runs per key.  A batch looks up its own keys there and reads no
+# earlier output.  Keys are never forgotten, so the store grows with the distinct deltas; with the
+# session's RocksDB provider it lies on disk, and its changes in the checkpoint folder.
 
-#: A submission and the one it is answered with.  ``known``: the state store knew the key.
-RECEIPT_SCHEMA = T.StructType(
-    [
-        *QUEUE_SCHEMA.fields,
-        T.StructField("delta_id", T.StringType()),
-        T.StructField("first_id", T.LongType()),
-        T.StructField("first_seq", T.LongType()),
-        T.StructField("known", T.BooleanType()),
-    ]
-)
-#: Submissions of one key side by side: the columns of the first, ids and sequences of all.
-_TOGETHER = T.StructType(
-    [
-        *QUEUE_SCHEMA.fields,
-        T.StructField("delta_id", T.StringType()),
-        T.StructField("ids", T.ArrayType(T.LongType())),
-        T.StructField("seqs", T.ArrayType(T.LongType())),
-    ]
-)
 _KEY = list(IDEMPOTENCY_KEY)
 
 
-def _together(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per key and Arrow batch, so that a key with very many submissions is combined before it is shuffled."""
-    for batch in batches:
-        ordered = batch.sort_values(["ingest_seq", "id"], na_position="last", kind="stable")
-        grouped = ordered.groupby(_KEY, sort=False, dropna=False)
-        lists = grouped.agg(ids=("id", list), seqs=("ingest_seq", list))
-        firsts = ordered.drop_duplicates(_KEY)
-        yield firsts.join(lists, on=_KEY)[_TOGETHER.fieldNames()]
-
-
-def _order(row) -> tuple:
-    """Lowest ingest sequence first, NULL last, then lowest id."""
-    return pd.isna(row["ingest_seq"]), row["ingest_seq"], pd.isna(row["id"]), row["id"]
-
-
-def _whole(value) -> int | None:
-    return None if pd.isna(value) else int(value)
-
-
-def _answer(key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The submissions of a key in one batch, answered with the first the state store knows."""
-    rows = [row for piece in pieces for row in piece.to_dict("records")]
-    known, first = state.exists, min(rows, key=_order)
-    if not known:
-        state.update((_whole(first["id"]), _whole(first["ingest_seq"])))
-    first_id, first_seq = state.get
-    out = pd.DataFrame({"id": pd.array([_whole(i) for row in rows for i in row["ids"]], "Int64")})
-    out["ingest_seq"] = pd.array([_whole(s) for row in rows for s in row["seqs"]], "Int64")
-    for name in RECEIPT_SCHEMA.fieldNames():
-        if name not in out.columns:
-            out[name] = None
-    out[_KEY] = key
-    out["first_id"], out["first_seq"], out["known"] = first_id, first_seq, known
-    if not known:
-        # Only the row that is stored keeps its payload.
-        stored = (out["id"].isna() if first_id is None else out["id"].eq(first_id).fillna(False)).to_numpy().argmax()
-        for name in ("payload", "submitted_at", "validation_status", "rejection_reason"):
-            out[name] = out[name].astype(object)
-            out.at[stored, name] = None if pd.isna(first[name]) else first[name]
-    yield out[RECEIPT_SCHEMA.fieldNames()]
+def _arrival() -> Column:
+    """Earliest batch first; within it the lowest ingest sequence, NULL last, then the lowest id."""
+    return F.struct(
+        F.current_timestamp().alias("batch_at"),
+        F.col("ingest_seq").isNull().alias("no_seq"),
+        "ingest_seq",
+        F.col("id").isNull().alias("no_id"),
+        "id",
+    )
 
 
 def dedup_stream(candidates: DataFrame, root: str) -> StreamingQuery:
@@ -156,36 +104,44 @@ def dedup_stream(candidates: DataFrame, root: str) -> StreamingQuery:
     Writes ``first`` (rows without a delta id, and the first row of each delta) and
     ``receipts`` (submission_id, candidate_id, ingest_seq, replayed) per batch.  Within a
     batch the lowest ingest sequence comes first, NULL last; an earlier batch comes before a
-    later one.  A replayed batch finds the store as it was before that batch.
+    later one, by the time Spark notes for each batch in its checkpoint, which a replayed batch
+    keeps.  A replayed batch finds the store as it was before that batch.
     """
     keyed = with_idempotency_key(candidates).select(*QUEUE_SCHEMA.fieldNames(), "delta_id")
-    answered = (
+    # In update mode a batch gets the keys it holds; ``known``: an earlier batch stored the key.
+    firsts = (
         keyed.where(F.col("delta_id").isNotNull())
-        .mapInPandas(_together, _TOGETHER)
+        .select(*_KEY, _arrival().alias("arrival"))
         .groupBy(*_KEY)
-        .applyInPandasWithState(_answer, RECEIPT_SCHEMA, "first_id long, first_seq long", "append", GroupStateTimeout.NoTimeout)
-    )
-    # Rows without a delta id are firsts of their own and need no state.
-    alone = keyed.where(F.col("delta_id").isNull()).select(
-        "*", F.col("id").alias("first_id"), F.col("ingest_seq").alias("first_seq"), F.lit(False).alias("known")
+        .agg(F.min("arrival").alias("first"))
+        .withColumn("known", F.col("first.batch_at") < F.current_timestamp())
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        receipts = batch.persist()
+        # Read more than once, and the state may be taken one step further only once a batch.
+        arrived = batch.persist()
         try:
-            is_first = ~F.col("known") & F.col("id").eqNullSafe(F.col("first_id"))
-            receipts.select(
+            rows = arrived.where(F.col("first").isNull()).drop("first", "known")
+            stored = arrived.where(F.col("first").isNotNull()).select(
+                *[F.col(k).alias(f"_{k}") for k in _KEY],
+                F.col("first.id").alias("first_id"),
+                F.col("first.ingest_seq").alias("first_seq"),
+                "known",
+                F.lit(True).alias("has_delta"),
+            )
+            answered = rows.join(stored, [rows[k].eqNullSafe(stored[f"_{k}"]) for k in _KEY], "left")
+            is_first = F.col("has_delta").isNull() | (~F.col("known") & F.col("id").eqNullSafe(F.col("first_id")))
+            answered.select(
                 F.col("id").alias("submission_id"),
-                F.col("first_id").alias("candidate_id"),
-                F.col("first_seq").alias("ingest_seq"),
+                F.when(F.col("has_delta"), F.col("first_id")).otherwise(F.col("id")).alias("candidate_id"),
+                F.when(F.col("has_delta"), F.col("first_seq")).otherwise(F.col("ingest_seq")).alias("ingest_seq"),
                 (~is_first).alias("replayed"),
             ).write.mode("overwrite").parquet(_batch_folder(root, "receipts", batch_id))
-            firsts = receipts.where(is_first).select(*QUEUE_SCHEMA.fieldNames(), "delta_id")
-            firsts.write.mode("overwrite").parquet(_batch_folder(root, "first", batch_id))
+            answered.where(is_first).select(*rows.columns).write.mode("overwrite").parquet(_batch_folder(root, "first", batch_id))
         finally:
-            receipts.unpersist()
+            arrived.unpersist()
 
-    return _started(answered.unionByName(alone), root, write)
+    return _started(keyed.unionByName(firsts, allowMissingColumns=True), root, write, "update")
 
 
 # --------------------------------------------------------------- windowed rates

@@ -123,6 +123,25 @@ def test_receipts_are_the_same_over_three_batches_and_a_restart(spark, rows):
     assert json.loads(kept[2][2])["delta_id"] == "a" and kept[2][4] == datetime(2026, 4, 15, 2)
 
 
+def test_first_submissions_need_no_python_per_key_and_keep_large_ids(spark, rows):
+    big = 2**53 + 1
+    no_seq = (None,) + delta(0, "a")[1:5] + (None,) + delta(0, "a")[6:]
+    batches = [[no_seq, delta(big, "a"), delta(big, "a"), delta(5, "b", by=None)], [delta(1, "a"), delta(6, "b", by=None), delta(7, None)]]
+    root = Q.new_run_folder(spark, "large")
+    land_in_batches(spark, f"{root}/in", *batches)
+    stream = Q.dedup_stream(Q.queue_source(spark, f"{root}/in", files_per_batch=1), root)
+    stream.awaitTermination()
+    assert [o["operatorName"] for o in stream.lastProgress["stateOperators"]] == ["stateStoreSave"]
+    schema = "submission_id long, candidate_id long, ingest_seq long, replayed boolean"
+    assert rows(Q.read_part(spark, root, "receipts", T.StructType.fromDDL(schema)).drop("batch_id")) == sorted(
+        [(None, big, big, True), (big, big, big, False), (big, big, big, False), (1, big, big, True), (5, 5, 5, False), (6, 5, 5, True), (7, 7, 7, False)], key=repr
+    )
+    # Rows that repeat the id of the first one are firsts as well, and keep their payload.
+    keyed = T.StructType([*K.QUEUE_SCHEMA.fields, T.StructField("delta_id", T.StringType())])
+    firsts = Q.read_part(spark, root, "first", keyed).select("id", F.get_json_object("payload", "$.delta_id").alias("delta"))
+    assert rows(firsts) == sorted([(5, "b"), (big, "a"), (big, "a"), (7, None)], key=repr)
+
+
 def test_late_rows_correct_their_window_and_are_listed(spark, rows):
     at = lambda day, hour: datetime(2026, 4, day, hour)
     batches = [
