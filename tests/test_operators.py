@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from datetime import date, timedelta
+from itertools import combinations
 
 from pyspark.sql import functions as F
 
 from lakemart.operators import quality as Q
-from lakemart.operators.coholding import co_holding
+from lakemart.operators.coholding import co_holding, item_pairs
 from lakemart.operators.joins import interval_pairs, spine_join, without_matches
 from lakemart.operators.ordering import latest_per_key, newest_first
 from lakemart.operators.rolling import rolling_zscore
@@ -73,6 +75,23 @@ def test_without_matches_treats_null_as_equal(frame, rows):
     assert rows(without_matches(left, frame("k string, d int", ("a", None)), ["k", "d"])) == [("b", 1)]
 
 
+def test_pairs_are_added_up_where_they_are_formed(frame, rows):
+    data = [(f"d{n % 2}", f"h{n % 3}", f"s{n // 3}", n) for n in range(60)] + [("d0", None, "s1", 1), (None, "h1", "s1", 1), ("d0", "h1", None, 1)]
+    df = frame("report_date string, holder_id string, security_id string, announced_date int", *data)
+    for block_rows in (1000, 3):
+        pairs = item_pairs(df.where("security_id is not null"), ["report_date", "holder_id"], "security_id", ["announced_date"], block_rows)
+        grouped = pairs.groupBy("report_date", "_block", "security_id_left", "security_id_right").count()
+        plan = plan_of(grouped)
+        # Nothing is dealt anew between the pairs and their sums.
+        assert "HashAggregate" in plan and "Exchange" not in plan[: plan.index("Generate")]
+        want = Counter()
+        for date in ("d0", "d1"):
+            for holder in ("h0", "h1", "h2"):
+                mine = sorted(r[2] for r in data if r[:2] == (date, holder) and r[2])
+                want.update((date, a, b) for a, b in combinations(mine, 2))
+        assert rows(grouped.drop("_block")) == sorted([(*k, n) for k, n in want.items()], key=repr)
+
+
 def test_co_holding_is_the_same_for_any_block_size(frame, rows):
     rng = random.Random(3)
     data = [(date(2026, 3, 31), f"f{rng.randrange(3)}", f"s{rng.randrange(25):02d}", date(2026, 4, 1 + rng.randrange(20))) for _ in range(120)]
