@@ -131,11 +131,15 @@ def dedup_stream(candidates: DataFrame, root: str) -> StreamingQuery:
             )
             answered = rows.join(stored, [rows[k].eqNullSafe(stored[f"_{k}"]) for k in _KEY], "left")
             is_first = F.col("has_delta").isNull() | (~F.col("known") & F.col("id").eqNullSafe(F.col("first_id")))
+            # As in ``submission_receipts``, a key with a NULL is stored once but answers nobody else.
+            told = F.col("has_delta").isNotNull()
+            for k in _KEY:
+                told = told & F.col(k).isNotNull()
             answered.select(
                 F.col("id").alias("submission_id"),
-                F.when(F.col("has_delta"), F.col("first_id")).otherwise(F.col("id")).alias("candidate_id"),
-                F.when(F.col("has_delta"), F.col("first_seq")).otherwise(F.col("ingest_seq")).alias("ingest_seq"),
-                (~is_first).alias("replayed"),
+                F.when(told, F.col("first_id")).otherwise(F.col("id")).alias("candidate_id"),
+                F.when(told, F.col("first_seq")).otherwise(F.col("ingest_seq")).alias("ingest_seq"),
+                (told & ~is_first).alias("replayed"),
             ).write.mode("overwrite").parquet(_batch_folder(root, "receipts", batch_id))
             answered.where(is_first).select(*rows.columns).write.mode("overwrite").parquet(_batch_folder(root, "first", batch_id))
         finally:
