@@ -191,6 +191,41 @@ def test_extraction(frame):
     assert extraction.extract(frame("page_id long, url string, html string")).count() == 0
 
 
+def test_extraction_takes_slots_from_tested_classes(frame):
+    def page(i):
+        notice = "<section><h4>Subscribe</h4><p>Every week</p></section>" if i % 3 else ""
+        part = "<h2>Summary</h2>" if i % 2 else "<h2>Other</h2>"
+        main = f"<article><p>Own {i}</p>{part}<div><b>Share this</b></div><p>More {i}</p></article>"
+        return f"<html><body>{notice}<div><p>Top</p></div>{main}</body></html>"
+
+    def plain(i):
+        return f"<body><div><p>Top line</p></div><div><p>Text {i}</p></div>{'<section><p>Often</p></section>' if i % 4 else ''}</body>"
+
+    rows = [(i, f"http://a.example/{i}", page(i)) for i in range(12)]
+    rows += [(100 + i, f"http://b.example/{i}", "<body><p>One text</p><p>copied</p></body>") for i in range(9)]
+    rows += [(200 + i, f"http://c.example/{i}", plain(i)) for i in range(8)]
+    found = {r["page_id"]: r["text"] for r in extraction.extract(frame("page_id long, url string, html string", *rows)).collect()}
+    # The template bounds an article too; a heading that many pages share is no class of its own.
+    assert all(found[i] == f"Own {i} {'Summary' if i % 2 else 'Other'} More {i}" for i in range(12))
+    # Copies of one page are no host of many pages.
+    assert all(found[100 + i] == "One text copied" for i in range(9))
+    # A part that stands on most pages is a class nested in the root's gap.
+    assert all(found[200 + i] == f"Text {i}" for i in range(8))
+
+
+def test_classes_are_ordered_and_nested():
+    found = {r: (1, 3, 9) for r in (1, 2, 3)} | {r: (2, 3, 5) for r in (4, 5, 6)}
+    ranks, crossed = extraction.tested([1, 4, 5, 6, 9, 2, 3, 4, 5, 6], found)
+    assert not crossed and all(low == high == (role - 1) % 3 for role, (low, high) in ranks.items())
+    assert extraction.tested([1, 4, 2, 5, 6, 3], found)[1] == {(2, 1)}
+    assert extraction.tested([4, 1, 5, 2, 6, 3], found)[1] == {(2, 1)}
+    assert extraction.tested([1, 2, 3, 2, 1, 3], found)[0][1] == (0, 1)
+    assert extraction.tested([1, 2, 2, 3, 3, 1], found)[0][2][0] == -1
+    valid = {1: (1, 0, 3), 2: (1, 1, 3), 3: (1, 2, 3)}
+    first, second, third = (extraction.refined(r, valid) for r in ([1, 7, 2, 3], [1, 2, 7, 3], [1, 2, 3, 7]))
+    assert len({first[1], second[2], third[3]}) == 3 and first[0] == 1
+
+
 def test_licenses(docs, empty, frame):
     found = {r["doc_id"]: r for r in licenses.scan(docs).where("doc_id <> 8").collect()}
     assert (found[1]["n_base"], found[1]["first_word"], found[1]["last_word"]) == (2, 0, 5)
