@@ -9,6 +9,7 @@
    leaving out pairs already joined and pairs that an earlier band brings together.
 4. Every comparison reads signatures batch by batch and stops when the posterior probability that
    the similarity reaches the threshold falls below ``miss``; survivors are verified on full sets.
+   Blocks meet with signatures alone first, so only classes of surviving pairs travel with their sets.
 5. Links go through alternating large-star / small-star rounds to connected components.
 """
 
@@ -181,6 +182,41 @@ def verified(pairs: DataFrame, sets: DataFrame, spec: NearDup) -> DataFrame:
     return both.select("a", "b", "set_a", "set_b").mapInPandas(check, "a long, b long")
 
 
+def _by_side(frame: pd.DataFrame, spec: NearDup) -> tuple[pd.DataFrame, np.ndarray]:
+    frame = frame.sort_values(["side", "rep"], kind="stable")
+    return frame, np.frombuffer(b"".join(frame["sig"]), np.uint32).reshape(len(frame), spec.hashes)
+
+
+def _survivors(i: int, sigs: np.ndarray, side: np.ndarray, comps: np.ndarray, band: int, within: bool, spec: NearDup) -> np.ndarray:
+    """Places of the classes of other components whose signatures survive against class ``i``, each pair once."""
+    others = np.arange(i + 1, len(side)) if within else np.flatnonzero(side > side[i])
+    others = others[comps[others] != comps[i]]
+    if band and len(others):
+        before = (sigs[others, : band * spec.rows] == sigs[i, : band * spec.rows]).reshape(len(others), band, -1)
+        others = others[~before.all(2).any(1)]
+    if len(others):
+        others = others[surviving(np.broadcast_to(sigs[i], (len(others), spec.hashes)), sigs[others], spec)]
+    return others
+
+
+def open_classes(members: DataFrame, spec: NearDup) -> DataFrame:
+    """bucket, pair, rep of the classes with a surviving pair; ``members`` as for ``block_links``, without shingles."""
+
+    def survive(frame: pd.DataFrame) -> pd.DataFrame:
+        frame, sigs = _by_side(frame, spec)
+        side, comps = frame["side"].to_numpy(), frame["comp"].to_numpy()
+        band, within = int(frame["band"].iloc[0]), bool(frame["within"].iloc[0])
+        needed = np.zeros(len(frame), bool)
+        for i in range(len(frame)):
+            others = _survivors(i, sigs, side, comps, band, within, spec)
+            if len(others):
+                needed[i] = True
+                needed[others] = True
+        return frame.loc[needed, ["bucket", "pair", "rep"]]
+
+    return members.groupBy("bucket", "pair").applyInPandas(survive, "bucket long, pair long, rep long")
+
+
 def block_links(members: DataFrame, spec: NearDup) -> DataFrame:
     """Links between different components inside each (bucket, block pair), compared completely.
 
@@ -190,22 +226,14 @@ def block_links(members: DataFrame, spec: NearDup) -> DataFrame:
     """
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["side", "rep"], kind="stable")
-        sigs = np.frombuffer(b"".join(frame["sig"]), np.uint32).reshape(len(frame), spec.hashes)
+        frame, sigs = _by_side(frame, spec)
         sets = [np.frombuffer(x, np.uint64) for x in frame["shingles"]]
         reps, side = frame["rep"].to_numpy(), frame["side"].to_numpy()
         comps = frame["comp"].to_numpy().copy()
         band, within = int(frame["band"].iloc[0]), bool(frame["within"].iloc[0])
         found = []
         for i in range(len(frame)):
-            others = np.arange(i + 1, len(frame)) if within else np.flatnonzero(side > side[i])
-            others = others[comps[others] != comps[i]]
-            if band and len(others):
-                before = (sigs[others, : band * spec.rows] == sigs[i, : band * spec.rows]).reshape(len(others), band, -1)
-                others = others[~before.all(2).any(1)]
-            if len(others):
-                others = others[surviving(np.broadcast_to(sigs[i], (len(others), spec.hashes)), sigs[others], spec)]
-            for j in others:
+            for j in _survivors(i, sigs, side, comps, band, within, spec):
                 if comps[i] != comps[j] and linked(sets[i], sets[j], spec.percent):
                     found.append((reps[i], reps[j]))
                     comps[comps == comps[j]] = comps[i]
@@ -292,7 +320,10 @@ def near_duplicates(docs: DataFrame, spec: NearDup = NearDup()) -> DataFrame:
         F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"),
         (F.col("mine") == F.col("other")).alias("within"),
     )
-    second = block_links(rest.join(sigs, "rep").join(sets, "rep"), spec)
+    rest = materialize(rest)
+    signed = rest.join(sigs, "rep")
+    needed = materialize(open_classes(signed, spec))
+    second = block_links(signed.join(needed, ["bucket", "pair", "rep"], "left_semi").join(sets, "rep"), spec)
     roots = components(first.union(materialize(second)))
 
     labels = classes.join(roots, classes["rep"] == roots["node"], "left").select(

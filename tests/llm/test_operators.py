@@ -400,6 +400,25 @@ def test_near_duplicates_against_brute_force(spark, docs, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_neardup_blocks_need_sets_of_surviving_pairs_only(frame):
+    spec = neardup.NearDup()
+    rng = np.random.default_rng(3)
+    sets = [np.sort(rng.integers(1, 2**63, 200, dtype=np.uint64)) for _ in range(60)]
+    near = [np.sort(np.concatenate([s[:190], rng.integers(1, 2**63, 10, dtype=np.uint64)])) for s in sets[:5]]
+    sets += [*near, *near[:2]]
+    sigs = [neardup.signature(s, spec.hashes).tobytes() for s in sets]
+    comps = [*range(65), 0, 1]
+    rows = [(7, 0, i, comps[i], 0, True, 0, bytearray(sigs[i]), bytearray(s.tobytes())) for i, s in enumerate(sets)]
+    schema = "bucket long, pair long, rep long, comp long, side int, within boolean, band int, sig binary, shingles binary"
+    members = frame(schema, *rows)
+    needed = neardup.open_classes(members.drop("shingles"), spec)
+    found = {r["rep"] for r in needed.collect()}
+    assert found == {*range(5), *range(60, 67)}
+    some = members.join(needed, ["bucket", "pair", "rep"], "left_semi")
+    whole, part = ({tuple(r) for r in neardup.block_links(m, spec).collect()} for m in (members, some))
+    assert whole == part and len(whole) == 5
+
+
 def test_mixing(frame, docs, empty):
     rows = [(i, " ".join(["w"] * (i % 9 + 1)), ["a", "b", "c", None][i % 4]) for i in range(200)]
     out = mixing.mix(frame("doc_id long, text string, source string", *rows)).collect()
