@@ -296,7 +296,9 @@ def near_duplicates(docs: DataFrame, spec: NearDup = NearDup()) -> DataFrame:
         star.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b"),
         spec,
     )
-    sets = materialize(sets_of(docs, members.select("rep").distinct(), spec))
+    # Written by itself, so that the planner sees the ids' own size and does not shuffle the texts to meet few of them.
+    wanted = materialize(members.select("rep").distinct())
+    sets = materialize(sets_of(docs, wanted, spec))
     first = materialize(verified(near, sets, spec))
     comps = components(first)
 
