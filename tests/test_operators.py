@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 from datetime import date, timedelta
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakemart.operators import quality as Q
@@ -92,6 +94,25 @@ def test_pairs_are_added_up_where_they_are_formed(frame, rows):
         assert rows(grouped.drop("_block")) == sorted([(*k, n) for k, n in want.items()], key=repr)
 
 
+@pytest.mark.parametrize("block_rows", [1000, 8, 3])
+def test_pairs_are_dealt_evenly_and_lists_in_as_many_tasks(frame, block_rows):
+    dates = [date(2026, 3, d) for d in (1, 2, 3)]
+    data = [(dates[n % 3], f"h{n}", f"s{(n * 7 + k * (1 + n % 5)) % 60:02d}", dates[0]) for n in range(90) for k in range(12)]
+    df = frame("report_date date, holder_id string, security_id string, announced_date date", *dict.fromkeys(data))
+    pairs = item_pairs(df, ["report_date", "holder_id"], "security_id", ["announced_date"], block_rows)
+    got = pairs.groupBy("_block").count().collect()
+    held = {}
+    for day, holder, security, _ in dict.fromkeys(data):
+        held.setdefault((day, holder), set()).add(security)
+    total = sum(len(s) * (len(s) - 1) // 2 for s in held.values())
+    assert sum(r["count"] for r in got) == total
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(total / block_rows**2))
+    assert pairs.rdd.getNumPartitions() == tasks
+    if block_rows == 1000:
+        # Blocks were dealt to tasks by hash: with one block a date at most three tasks had pairs.
+        assert len(got) > 3 and max(r["count"] for r in got) < 3 * total / tasks
+
+
 def test_co_holding_is_the_same_for_any_block_size(frame, rows):
     rng = random.Random(3)
     data = [(date(2026, 3, 31), f"f{rng.randrange(3)}", f"s{rng.randrange(25):02d}", date(2026, 4, 1 + rng.randrange(20))) for _ in range(120)]
