@@ -14,7 +14,7 @@ from lakemart.operators.coholding import co_holding, item_pairs
 from lakemart.operators.joins import interval_pairs, spine_join, without_matches
 from lakemart.operators.ordering import latest_per_key, newest_first
 from lakemart.operators.rolling import rolling_zscore
-from lakemart.plans.intermediate import latest_of_sources
+from lakemart.plans.intermediate import index_membership, latest_of_sources
 
 
 def plan_of(df):
@@ -175,3 +175,28 @@ def test_reconcile_flags_units_and_sides(frame, rows):
         (1, "both", True, True, False), (2, "both", False, False, True),
         (3, "missing_right", False, False, False), (4, "missing_left", False, False, False),
     ]
+
+
+def test_index_members_are_staged_once(frame, rows):
+    loaded = "source_run_id string, raw_loaded_at timestamp_ntz"
+    member = "index_code string, con_code string, index_name string, con_name string, in_date date, out_date date, is_new string, "
+    on = date(2026, 3, 1)
+    members = frame(
+        member + loaded,
+        ("i", "a", "I", "A", on, None, "Y", "m", None),
+        ("i", "b", "I", "B", on, None, "Y", "m", None),
+        (None, "a", "I", "A", on, None, "Y", "m", None),
+    )
+    weights = frame(
+        "index_code string, con_code string, trade_date date, weight string, " + loaded,
+        ("i", "a", on + timedelta(1), "1", "w", None),
+        ("i", "a", on - timedelta(1), "2", "w", None),
+    )
+    basics = frame("ts_code string, name string, market string, category string, " + loaded, ("i", "Index", "x", "y", "b", None))
+    spelled = members.withColumn("con_name", F.reverse("con_name"))
+    got = index_membership({"index_member": spelled, "index_weight": weights, "index_basic": basics})
+    # Members come from the table they were written to, in the matches and among those nobody matched.
+    assert "reverse(" not in plan_of(got)
+    assert rows(got, "index_code", "con_code", "trade_date", "valid_from") == sorted(
+        [("i", "a", on + timedelta(1), on), ("i", "a", on - timedelta(1), None), ("i", "b", None, on), (None, "a", None, on)], key=repr
+    )

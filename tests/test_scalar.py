@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from lakemart.checks.market_feeds import _digits, _duck, _spark_digits, _spark_text
 from lakemart.functions import scalar as S
 
 
@@ -29,6 +30,27 @@ def test_strict_date_raises(frame, value):
         one(frame, value, S.strict_date)
 
 
+@pytest.mark.parametrize("value", ["00000101", "20260415\n", "202604156"])
+def test_strict_date_still_refuses_what_a_pattern_refuses(frame, value):
+    with pytest.raises(Exception):
+        one(frame, value, S.strict_date)
+
+
+def test_strict_date_is_a_cast(frame):
+    df = frame("v string", ("00010101",), ("99991231",)).select(S.strict_date("v").alias("r"))
+    assert [r["r"] for r in df.collect()] == [date(1, 1, 1), date(9999, 12, 31)]
+    assert "gettimestamp" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spelled_days_are_those_of_the_checking_engine(spark):
+    days = ["0001-01-01", "0987-12-09", "2024-02-29", "9999-12-31", None]
+    df = spark.createDataFrame([(d,) for d in days], "t string").selectExpr("cast(t as date) as d")
+    got = df.selectExpr("replace(cast(d as string), '-', '') as a", f"{_spark_digits('d')} as b").collect()
+    assert [r["a"] for r in got] == [r["b"] for r in got] == [d and d.replace("-", "") for d in days]
+    text = _spark_text(_digits("(d + 30)"))
+    assert "replace(" not in text and _duck(_digits("(d + 30)")) == "replace(cast((d + 30) as varchar), '-', '')"
+
+
 @pytest.mark.parametrize(
     "value,expected",
     [("2026-04-15", date(2026, 4, 15)), ("20260415", date(2026, 4, 15)), ("2026", None), ("2026041", None), ("20260230", None)],
