@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from pyspark.sql import types as T
 from lakemart.plans import contracts as C
 from lakemart.plans import manifests as M
 from lakemart.plans import schemas
+from lakemart.plans.staging import stage
+from lakemart.session import shuffles_dropped
 from lakemart.sources import cycle_store as Y
 from lakemart.sources import snapshots as S
 
@@ -266,3 +269,47 @@ def test_current_cycle_needs_every_symbol(spark, root, frame):
         Y.freeze_current_cycle(spark, root, queue_rows(frame), basics, calendar, daily, basics)
     done = Y.freeze_current_cycle(spark, root, queue_rows(frame), basics.where("ts_code = 'a'"), calendar, daily, basics)
     assert done.first()["candidate_count"] == 4
+
+
+def staged_rows(spark, dataset):
+    """One staged row of a dataset, all texts the digit 1."""
+    values = {c: F.lit("20260415" if schemas.column_kind(dataset, c) == "date" else "1").alias(c) for c in schemas.RAW_COLUMNS[dataset]}
+    raw = spark.range(1).select(*values.values(), F.lit("run").alias("source_run_id"), F.lit(datetime(2026, 4, 16)).alias("raw_loaded_at"))
+    return stage(dataset, raw)
+
+
+def test_one_intermediate_lies_on_disk_at_a_time(spark, root, monkeypatch):
+    tables = Path(spark.conf.get("spark.checkpoint.dir")) / "lakemart-tables"
+    here = lambda: set(tables.iterdir()) if tables.exists() else set()
+    before, beside, write = here(), [], S.written
+
+    def counted(*given, **named):
+        beside.append(len(here() - before))
+        return write(*given, **named)
+
+    monkeypatch.setattr(S, "written", counted)
+    staged = {name: staged_rows(spark, name) for name in ("forecast", "hsgt_top10")}
+    results = S.publish_marts(spark, root, staged, ["fact_northbound_turnover", "fact_forecast_event"])
+    assert beside == [0, 0] and here() == before
+    assert [r.table.split(".")[1].removeprefix("lineage_") for r in results] == ["fact_northbound_turnover"] * 2 + ["fact_forecast_event"] * 2
+    assert S.read_table(spark, root, "canonical_v2.fact_forecast_event").count() == 1
+
+
+def test_nothing_is_published_where_a_later_mart_breaks_its_contract(spark, root, monkeypatch):
+    staged = {name: staged_rows(spark, name) for name in ("forecast", "hsgt_top10")}
+    build, project = S.marts.MARTS["fact_northbound_turnover"]
+    broken = lambda df: tuple(side.withColumn("rank", F.lit("first")) for side in project(df))
+    monkeypatch.setitem(S.marts.MARTS, "fact_northbound_turnover", (build, broken))
+    with pytest.raises(C.ContractError):
+        S.publish_marts(spark, root, staged, ["fact_forecast_event", "fact_northbound_turnover"])
+    assert not Path(root).exists()
+
+
+def test_shuffle_files_go_with_the_query(spark, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    with shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+        df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        assert df.count() == 7 and df.count() == 7
+    assert spark.conf.get(name) == before
